@@ -34,12 +34,12 @@ def runtime_histogram(
 
 
 def share_of_total(counts: DataFrame, number: str = "count", name: str = "share") -> DataFrame:
-    """Each count in percent of all counts.
+    """Each count in percent of all counts; null if they add up to 0.
 
     The total is a scalar subquery: partial sums everywhere, one value at the end.
     """
     total = counts.agg(F.sum(number)).scalar()
-    return counts.withColumn(name, F.col(number) * F.lit(100.0) / total)
+    return counts.withColumn(name, F.try_divide(F.col(number) * F.lit(100.0), total))
 
 
 def exploded_counts(rows: DataFrame, names: Column, column: str) -> DataFrame:

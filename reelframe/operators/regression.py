@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from reelframe.functions import round_1
 from reelframe.operators.rows import label_split
 from reelframe.schema import ELASTIC_NET_MIX, MAX_ITERATIONS, REGULARIZATION
+from reelframe.sources.inline import literal_rows
 
 
 def model_inputs(features: Sequence[str], label: str, leak: bool) -> list[str]:
@@ -75,9 +76,8 @@ def linear_score(model: LinearRegressionModel, features: Sequence[str]) -> Colum
 def coefficients(spark: SparkSession, model: LinearRegressionModel, features: Sequence[str]) -> DataFrame:
     """Weights by feature, and the intercept."""
     rows = [(f, float(w)) for f, w in zip(features, model.coefficients.toArray(), strict=True)]
-    return spark.createDataFrame(
-        [*rows, ("intercept", float(model.intercept))], "feature string, weight double"
-    )
+    rows.append(("intercept", float(model.intercept)))
+    return literal_rows(spark, rows, "feature", "weight")
 
 
 def residuals(
@@ -148,4 +148,4 @@ def score_fill(
 def model_params(spark: SparkSession, model: LinearRegressionModel) -> DataFrame:
     """Settings of the fit as (name, value)."""
     rows = [(param.name, str(value)) for param, value in model.extractParamMap().items()]
-    return spark.createDataFrame(sorted(rows), "name string, value string")
+    return literal_rows(spark, sorted(rows), "name", "value")

@@ -76,7 +76,7 @@ def _(spark, sf_dir):
 @query(
     "runtime_chart",
     f"""
-    SELECT id, "productName", nums, nums * CAST(100 AS DOUBLE) / sum(nums) OVER () AS share
+    SELECT id, "productName", nums, nums * CAST(100 AS DOUBLE) / nullif(sum(nums) OVER (), 0) AS share
     FROM (SELECT slot AS id, runtime AS "productName", coalesce(count, 0) AS nums
           FROM (SELECT unnest(range({RUNTIME_SLOTS})) AS slot) LEFT JOIN ({RANKED_SQL}) ON slot = id)
     """,

@@ -30,6 +30,16 @@ def read_lines(
     return lines
 
 
+def _split_where(lines: DataFrame, keep: Column) -> DataFrame:
+    """``fields`` of each line, for lines whose fields meet a condition.
+
+    A filter would be pushed below the split and split every line again for each mention of
+    a field. Exploding a one-element array, or null, keeps or drops a row and is not moved.
+    """
+    split = lines.select(split_quoted("value").alias("fields"))
+    return split.select(F.explode(F.when(keep, F.array("fields"))).alias("fields"))
+
+
 def fields_to_wide(
     lines: DataFrame, columns: Sequence[str] = (ROW_KEY, *MOVIE_COLUMNS), strict: bool = True
 ) -> DataFrame:
@@ -39,17 +49,15 @@ def fields_to_wide(
     ``short_lines`` gives those.
     """
     fields = F.col("fields")
-    split = lines.select(split_quoted("value").alias("fields"))
     enough = F.size(fields) >= len(columns)
-    if not strict:
-        split = split.filter(enough)
-        checked = fields
-    else:
+    if strict:
         message = F.concat(F.lit("too few fields: "), F.array_join(fields, ","))
-        checked = F.when(enough, fields).otherwise(F.raise_error(message))
-    return split.select(checked.alias("fields")).select(
-        *[F.get(fields, i).alias(name) for i, name in enumerate(columns)]
-    )
+        split = lines.select(split_quoted("value").alias("fields")).select(
+            F.when(enough, fields).otherwise(F.raise_error(message)).alias("fields")
+        )
+    else:
+        split = _split_where(lines, enough)
+    return split.select(*[F.get(fields, i).alias(name) for i, name in enumerate(columns)])
 
 
 def short_lines(lines: DataFrame, width: int = 1 + len(MOVIE_COLUMNS)) -> DataFrame:
@@ -75,12 +83,8 @@ def scrub_lines(lines: DataFrame, columns: Sequence[str] = (ROW_KEY, *MOVIE_COLU
     """
     width = len(columns)
     fields = F.col("fields")
-
-    def field(i: int) -> Column:
-        return unquote_field(F.get(fields, i))
-
-    return (
-        lines.select(split_quoted("value").alias("fields"))
-        .filter((field(width) == "") & (field(width - 1) != ""))
-        .select(*[field(i).alias(name) for i, name in enumerate(columns)])
+    blank = ["", '""']
+    keep = F.get(fields, width).isin(blank) & ~F.get(fields, width - 1).isin(blank)
+    return _split_where(lines, keep).select(
+        *[unquote_field(F.get(fields, i)).alias(name) for i, name in enumerate(columns)]
     )

@@ -1,0 +1,198 @@
+import os
+
+import pytest
+from plans import physical_plan
+from pyspark.sql import functions as F
+
+from reelframe.operators import (
+    cell_listing,
+    cells_to_wide,
+    latest_rows,
+    upsert_cells,
+    wide_to_cells,
+)
+from reelframe.sinks import KeyedTable, bulk_replace_sorted
+from reelframe.sources import cells_by_qualifier, key_range, keyed_scan
+
+CELLS = "row_key string, qualifier string, value string, version bigint"
+
+
+def rows_of(frame, *columns):
+    return sorted(tuple(r[c] for c in columns) for r in frame.collect())
+
+
+def test_cells_and_back_keep_blanks_and_nulls_apart(spark):
+    wide = spark.createDataFrame([("r1", "", None), ("r2", "x", "y")], "row_key string, a string, b string")
+    cells = wide_to_cells(wide, ["a", "b"])
+    assert rows_of(cells, "row_key", "qualifier", "value") == [
+        ("r1", "a", ""), ("r2", "a", "x"), ("r2", "b", "y"),
+    ]
+    back = cells_to_wide(cells.withColumn("version", F.lit(1)), ["a", "b"])
+    assert {tuple(r) for r in back.collect()} == {("r1", "", None), ("r2", "x", "y")}
+
+
+def test_last_write_wins_cell_by_cell(spark):
+    old = spark.createDataFrame([("r1", "a", "a1", 1), ("r1", "b", "v1", 1)], CELLS)
+    new = spark.createDataFrame([("r1", "b", "v2", 2), ("r2", "a", "n", 2)], CELLS)
+    assert rows_of(upsert_cells(old, new), "row_key", "qualifier", "value", "version") == [
+        ("r1", "a", "a1", 1), ("r1", "b", "v2", 2), ("r2", "a", "n", 2),
+    ]
+
+
+def test_cells_of_a_hot_key_are_combined_before_the_shuffle(spark):
+    hot = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("row_key"),
+        F.lit("a").alias("qualifier"),
+        F.col("id").cast("string").alias("value"),
+        F.col("id").alias("version"),
+    )
+    wide = cells_to_wide(hot, ["a", "b"])
+    assert wide.filter("row_key = 'hot'").first().a == "2997"
+    assert wide.count() == 2001
+    plan = physical_plan(wide)
+    assert plan.index("Exchange") < plan.index("partial_max_by")
+
+
+def test_cells_by_qualifier_decodes(spark):
+    cells = spark.createDataFrame(
+        [("r1", "n", "12.5", 1), ("r2", "n", "x", 1), ("r3", "m", "1", 1), ("r4", "n", "9007199254740993", 1)],
+        CELLS,
+    )
+    assert rows_of(cells_by_qualifier(cells, "n", "long"), "row_key", "value") == [
+        ("r1", 12), ("r2", None), ("r4", 9007199254740993),
+    ]
+    assert cells_by_qualifier(cells, "m", "float").first().value == 1.0
+    assert cells_by_qualifier(cells, "n").count() == 3
+
+
+def test_listing(spark):
+    cells = spark.createDataFrame([("r1", "a", "v", 1)], CELLS)
+    assert cell_listing(cells).first().line == "info:r1,a:v"
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    keyed = KeyedTable(str(tmp_path / "t"), buckets=4)
+    rows = [(str(i), f"name{i}", "old") for i in range(200)]
+    keyed.upsert(spark.createDataFrame(rows, "row_key string, name string, state string"))
+    return keyed
+
+
+def snapshot(path):
+    return {
+        os.path.join(folder, f): os.stat(os.path.join(folder, f)).st_mtime_ns
+        for folder, _, files in os.walk(path)
+        for f in files
+        if f.endswith(".parquet")
+    }
+
+
+def test_upsert_keeps_unwritten_cells_and_untouched_folders(spark, table):
+    before = snapshot(table.path)
+    change = spark.createDataFrame([("7", "new", None)], "row_key string, state string, name string")
+    table.upsert(change)
+    got = {r.row_key: (r.name, r.state) for r in table.scan(spark).collect()}
+    assert len(got) == 200
+    assert got["7"] == ("name7", "new")
+    assert got["8"] == ("name8", "old")
+    after = snapshot(table.path)
+    kept = {f for f, t in after.items() if before.get(f) == t}
+    gone = {os.path.dirname(f) for f in before if f not in after}
+    assert len(gone) == 1
+    assert len({os.path.dirname(f) for f in kept}) == 3
+
+
+def test_upsert_takes_the_last_of_many_changes(spark, table):
+    hot = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "5").otherwise((F.col("id") + 1000).cast("string")).alias("row_key"),
+        F.col("id").cast("string").alias("state"),
+        F.col("id").alias("version"),
+    )
+    table.upsert(hot, "version")
+    got = {r.row_key: r.state for r in table.scan(spark).collect()}
+    assert got["5"] == "2997"
+    assert len(got) == 200 + 2000
+    assert "version" not in table.scan(spark).columns
+
+
+def test_upsert_adds_columns(spark, table):
+    table.upsert(spark.createDataFrame([("1", "x")], "row_key string, extra string"))
+    # Folders that were not rewritten lack the column.
+    merged = spark.read.option("mergeSchema", True).parquet(table.path)
+    assert merged.filter("row_key = '1'").first().extra == "x"
+    assert merged.count() == 200
+
+
+def test_upsert_of_nothing_changes_nothing(spark, table):
+    before = snapshot(table.path)
+    table.upsert(spark.createDataFrame([], "row_key string, state string"))
+    assert snapshot(table.path) == before
+
+
+def test_blank_overwrites_but_null_does_not(spark, table):
+    table.upsert(spark.createDataFrame([("3", "", None)], "row_key string, state string, name string"))
+    row = table.scan(spark).filter("row_key = '3'").first()
+    assert (row.name, row.state) == ("name3", "")
+
+
+def test_other_bucket_number_is_refused(spark, table):
+    with pytest.raises(ValueError, match="not written with 8 buckets"):
+        KeyedTable(table.path, buckets=8).scan(spark)
+
+
+def test_scan_of_a_missing_table(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        KeyedTable(str(tmp_path / "none")).scan(spark)
+
+
+def test_merge_shuffles_and_sorts_once(spark, table):
+    stored = table._stored(spark)
+    staged = stored.filter("state = 'x'")
+    merged = table._merge(stored, staged).sortWithinPartitions(table.bucket, table.key)
+    plan = physical_plan(merged)
+    assert plan.count("Exchange") == 1
+    assert plan.count("Sort [") == 1
+
+
+def test_keys_sort_as_text(spark, table):
+    keys = [r.row_key for r in table.scan(spark, ordered=True).collect()]
+    assert keys == sorted(keys)
+    assert keys[:3] == ["0", "1", "10"]
+
+
+def test_range_reaches_the_scan(spark, table, tmp_path):
+    found = table.lookup(spark, "12", "13")
+    assert rows_of(found, "row_key")[0] == ("12",)
+    assert "GreaterThanOrEqual(row_key,12)" in physical_plan(found)
+    path = str(tmp_path / "sorted")
+    bulk_replace_sorted(table.scan(spark), path)
+    some = key_range(keyed_scan(spark, path), "12", "13")
+    assert rows_of(some, "row_key") == rows_of(found, "row_key")
+    assert "LessThan(row_key,13)" in physical_plan(some)
+
+
+def test_bulk_files_follow_each_other(spark, tmp_path):
+    path = str(tmp_path / "sorted")
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("row_key"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        bulk_replace_sorted(rows, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    bounds = (
+        spark.read.parquet(path)
+        .groupBy(F.input_file_name().alias("f"))
+        .agg(F.min("row_key").alias("lo"), F.max("row_key").alias("hi"))
+        .orderBy("lo")
+        .collect()
+    )
+    assert len(bounds) == 4
+    assert all(a.hi < b.lo for a, b in zip(bounds, bounds[1:], strict=False))
+
+
+def test_latest_rows_passes_over_nulls(spark):
+    rows = spark.createDataFrame(
+        [("k", 1, "a", "x"), ("k", 2, None, "y"), ("k", 3, "c", None)],
+        "row_key string, version int, p string, q string",
+    )
+    assert tuple(latest_rows(rows, "row_key", "version").first()) == ("k", "c", "y")
