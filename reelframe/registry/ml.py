@@ -1,6 +1,6 @@
 """The score fit. With the label among the features, or with features that do not explain it,
-the fit has a closed form, which the SQL states. The solver stops within about 1e-4 of it, so both
-are rounded: weights and metrics to three decimals, residuals, which add up such errors, to two."""
+the fit has a closed form, which the SQL states. Both sides are rounded before they are compared,
+because the solver stops close to the optimum, not on it."""
 
 from __future__ import annotations
 
@@ -52,11 +52,9 @@ LINES_SQL = """
 def leak_sql(labels: str) -> str:
     """Slope and intercept on the label itself; penalty 0.5, half of it on absolute weights."""
     return f"""
-        SELECT m, sd_pop, w, m * (1 - w) AS b FROM (
-            SELECT m, sd_pop, greatest(((n - 1) / n - 0.25 / sd) / ((n - 1) / n + 0.25 / sd), 0) AS w
-            FROM (SELECT CAST(count(*) AS DOUBLE) AS n, avg(y) AS m, stddev_samp(y) AS sd,
-                         stddev_pop(y) AS sd_pop
-                  FROM ({labels}) WHERE y <> 0))
+        SELECT sd, w, m * (1 - w) AS b FROM (
+            SELECT m, sd, greatest((1 - 0.25 / sd) / (1 + 0.25 / sd), 0) AS w
+            FROM (SELECT avg(y) AS m, stddev_pop(y) AS sd FROM ({labels}) WHERE y <> 0))
     """
 
 
@@ -81,22 +79,23 @@ def _(spark, sf_dir):
     "elastic_net_fit",
     f"""SELECT 'l_quantity' AS feature, CAST(0 AS DOUBLE) AS weight
         UNION ALL SELECT 'l_extendedprice', 0 UNION ALL SELECT 'l_tax', 0
-        UNION ALL SELECT 'label', round(w, 3) FROM ({LEAK_SQL})
-        UNION ALL SELECT 'intercept', round(b, 3) FROM ({LEAK_SQL})""",
+        UNION ALL SELECT 'label', round(w, 6) FROM ({LEAK_SQL})
+        UNION ALL SELECT 'intercept', round(b, 6) FROM ({LEAK_SQL})""",
 )
 def _(spark, sf_dir):
     _, _, features, model = fit_lines(spark, sf_dir)
     weights = coefficients(spark, model, features)
-    return weights.withColumn("weight", F.round("weight", 3) + F.lit(0.0))
+    return weights.withColumn("weight", F.round("weight", 6) + F.lit(0.0))
 
 
 @query(
     "elastic_net_fit_one_feature",
     """
-    SELECT unnest(['l_quantity', 'intercept']) AS feature, unnest([round(w, 2), round(my - w * mx, 2)]) AS weight
-    FROM (SELECT *, sign(r) * greatest(abs(r) * q - 0.25 / sy, 0) / (q + 0.25 / sy) * sy / sx AS w
-          FROM (SELECT corr(x, y) AS r, avg(x) AS mx, avg(y) AS my, stddev_samp(x) AS sx,
-                       stddev_samp(y) AS sy, (count(*) - 1) / CAST(count(*) AS DOUBLE) AS q
+    SELECT unnest(['l_quantity', 'intercept']) AS feature,
+           unnest([round(w, 4), round(my - w * mx, 4)]) AS weight
+    FROM (SELECT *, sign(r) * greatest(abs(r) - 0.25 / sy, 0) / (1 + 0.25 / sy) * sy / sx AS w
+          FROM (SELECT corr(x, y) AS r, avg(x) AS mx, avg(y) AS my, stddev_pop(x) AS sx,
+                       stddev_pop(y) AS sy
                 FROM (SELECT CAST(l_quantity AS FLOAT)::DOUBLE AS x,
                              CAST(l_extendedprice AS FLOAT)::DOUBLE AS y FROM lineitem)))
     """,
@@ -105,55 +104,55 @@ def _(spark, sf_dir):
     rows = scored_lines(spark, sf_dir)
     model = fit_scores(rows, ["l_quantity"], "l_extendedprice")
     weights = coefficients(spark, model, ["l_quantity"])
-    return weights.withColumn("weight", F.round("weight", 2))
+    return weights.withColumn("weight", F.round("weight", 4))
 
 
 @query(
     "residuals",
-    f"""SELECT l_orderkey, l_linenumber, y AS label, round(y * (1 - w) - b, 2) AS residual
+    f"""SELECT l_orderkey, l_linenumber, y AS label, round(y * (1 - w) - b, 6) AS residual
         FROM ({LINES_SQL}), ({LEAK_SQL}) WHERE y <> 0""",
 )
 def _(spark, sf_dir):
     _, train, features, model = fit_lines(spark, sf_dir)
     left = residuals(train, model, features, LABEL, LINE_KEYS)
     return left.select(
-        *LINE_KEYS, F.col(LABEL).cast("double").alias(LABEL), F.round("residual", 2).alias("residual")
+        *LINE_KEYS, F.col(LABEL).cast("double").alias(LABEL), F.round("residual", 6).alias("residual")
     )
 
 
 @query(
     "fit_metrics",
-    f"""SELECT round(sd_pop * (1 - w), 3) AS rmse, round(1 - (1 - w) * (1 - w), 3) AS r2
+    f"""SELECT round(sd * (1 - w), 6) AS rmse, round(1 - (1 - w) * (1 - w), 6) AS r2
         FROM ({LEAK_SQL})""",
 )
 def _(spark, sf_dir):
     _, train, features, model = fit_lines(spark, sf_dir)
     metrics = fit_metrics(train, model, features, LABEL)
-    return metrics.select(F.round("rmse", 3).alias("rmse"), F.round("r2", 3).alias("r2"))
+    return metrics.select(F.round("rmse", 6).alias("rmse"), F.round("r2", 6).alias("r2"))
 
 
-@query("rmse", f"SELECT round(sd_pop * (1 - w), 3) AS rmse FROM ({LEAK_SQL})")
+@query("rmse", f"SELECT round(sd * (1 - w), 6) AS rmse FROM ({LEAK_SQL})")
 def _(spark, sf_dir):
     _, train, features, model = fit_lines(spark, sf_dir)
-    return fit_metrics(train, model, features, LABEL).select(F.round("rmse", 3).alias("rmse"))
+    return fit_metrics(train, model, features, LABEL).select(F.round("rmse", 6).alias("rmse"))
 
 
-@query("r2", f"SELECT round(1 - (1 - w) * (1 - w), 3) AS r2 FROM ({LEAK_SQL})")
+@query("r2", f"SELECT round(1 - (1 - w) * (1 - w), 6) AS r2 FROM ({LEAK_SQL})")
 def _(spark, sf_dir):
     _, train, features, model = fit_lines(spark, sf_dir)
-    return fit_metrics(train, model, features, LABEL).select(F.round("r2", 3).alias("r2"))
+    return fit_metrics(train, model, features, LABEL).select(F.round("r2", 6).alias("r2"))
 
 
 @query(
     "fit_metrics_no_leak",
-    f"""SELECT round(stddev_pop(y), 3) AS rmse, CAST(0 AS DOUBLE) AS r2
+    f"""SELECT round(stddev_pop(y), 6) AS rmse, CAST(0 AS DOUBLE) AS r2
         FROM ({LINES_SQL}) WHERE y <> 0""",
 )
 def _(spark, sf_dir):
     """Features that do not explain the label get no weight: the fit is its mean."""
     _, train, features, model = fit_lines(spark, sf_dir, leak=False)
     metrics = fit_metrics(train, model, features, LABEL)
-    return metrics.select(F.round("rmse", 3).alias("rmse"), (F.round("r2", 3) + 0.0).alias("r2"))
+    return metrics.select(F.round("rmse", 6).alias("rmse"), (F.round("r2", 6) + 0.0).alias("r2"))
 
 
 @query(

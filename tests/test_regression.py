@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from plans import physical_plan
 from pyspark.ml.linalg import DenseVector
+from pyspark.ml.regression import LinearRegression
 
 from reelframe.operators import (
     assemble_features,
@@ -11,6 +12,7 @@ from reelframe.operators import (
     label_split,
     model_inputs,
     model_params,
+    moments,
     residuals,
     round_project,
     score_fill,
@@ -25,7 +27,7 @@ SCHEMA = "id string, a float, b float, c float, y float"
 def coordinate_descent(x, y, penalty, mix, sweeps=500):
     """Elastic net with intercept on standardised columns, written out as a check."""
     n = len(y)
-    sx, sy = x.std(axis=0, ddof=1), y.std(ddof=1)
+    sx, sy = x.std(axis=0), y.std()
     xs, ys = (x - x.mean(axis=0)) / sx, (y - y.mean()) / sy
     gram, target = xs.T @ xs / n, xs.T @ ys / n
     w = np.zeros(x.shape[1])
@@ -56,19 +58,43 @@ def frame(spark, data):
 def test_fit_equals_coordinate_descent(frame, data):
     model = fit_scores(frame, FEATURES, "y")
     weights, intercept = coordinate_descent(*data, 0.5, 0.5)
-    assert model.coefficients.toArray() == pytest.approx(weights, abs=2e-3)
-    assert model.intercept == pytest.approx(intercept, abs=0.2)
+    assert model.coefficients.toArray() == pytest.approx(weights, rel=1e-4)
+    assert model.intercept == pytest.approx(intercept, rel=1e-4)
     assert abs(weights[0]) > 0.1
 
 
-def test_metrics_and_residuals_equal_the_model_summary(frame):
-    model = fit_scores(frame, FEATURES, "y")
+@pytest.mark.parametrize("penalty, mix", [(0.5, 0.5), (0.0, 0.0), (0.1, 1.0), (2.0, 0.0)])
+def test_fit_equals_a_fit_to_all_rows(frame, penalty, mix):
+    plain = LinearRegression(
+        labelCol="y", maxIter=20, regParam=penalty, elasticNetParam=mix
+    ).fit(assemble_features(frame, FEATURES))
+    model = fit_scores(frame, FEATURES, "y", regularization=penalty, elastic_net_mix=mix)
+    assert model.coefficients.toArray() == pytest.approx(plain.coefficients.toArray(), rel=1e-6)
+    assert model.intercept == pytest.approx(plain.intercept, rel=1e-6)
     row = fit_metrics(frame, model, FEATURES, "y").first()
-    assert row.rmse == pytest.approx(model.summary.rootMeanSquaredError, rel=1e-9)
-    assert row.r2 == pytest.approx(model.summary.r2, rel=1e-9)
+    assert row.rmse == pytest.approx(plain.summary.rootMeanSquaredError, rel=1e-6)
+    assert row.r2 == pytest.approx(plain.summary.r2, rel=1e-6)
     own = sorted(r.residual for r in residuals(frame, model, FEATURES, "y").collect())
-    theirs = sorted(r[0] for r in model.summary.residuals.collect())
-    assert own == pytest.approx(theirs, abs=1e-9)
+    theirs = sorted(r[0] for r in plain.summary.residuals.collect())
+    assert own == pytest.approx(theirs, abs=1e-5)
+
+
+def test_fit_reads_the_rows_once(frame):
+    plan = physical_plan(moments(frame.na.drop(), [*FEATURES, "y"]))
+    assert plan.count("partial_covar_pop") == 10
+    assert plan.count("Exchange") == 1
+
+
+def test_constant_and_empty_columns(spark, frame):
+    flat = frame.selectExpr("id", "a", "b", "cast(3 as float) c", "y")
+    model = fit_scores(flat, FEATURES, "y")
+    assert model.coefficients[2] == 0.0
+    same = frame.selectExpr("id", "a", "b", "c", "cast(4 as float) y")
+    constant = fit_scores(same, FEATURES, "y")
+    assert constant.intercept == pytest.approx(4.0)
+    assert constant.coefficients.toArray() == pytest.approx([0, 0, 0])
+    with pytest.raises(ValueError, match="no complete rows"):
+        fit_scores(frame.filter("a > 1e9"), FEATURES, "y")
 
 
 def test_nulls_are_left_out_of_the_fit(spark, frame):
