@@ -17,7 +17,8 @@ from reelframe.registry.base import query, table
 from reelframe.registry.rows import HISTOGRAM_SQL, MIN_LINES, TITLES_SQL, as_double, runtimes, titles
 from reelframe.schema import POPULARITY_SLOTS, RUNTIME_SLOTS, TOP_TITLES
 from reelframe.session import scratch_path
-from reelframe.streaming import count_events, current_counts, stream_files, write_counts
+from reelframe.sinks import KeyedTable
+from reelframe.streaming import count_events, stream_files, write_counts
 
 TOP_SQL = f"""
     SELECT row_number() OVER (ORDER BY popularity DESC, row_key) - 1 AS id, original_title, popularity
@@ -93,11 +94,11 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     path = scratch_path(spark, "event-counts")
+    result = KeyedTable(f"{path}/counts", buckets=4)
     # As a glob, the path may name one file as well as a folder.
     events = stream_files(spark, f"{sf_dir}/events.parque[t]")
     counts = count_events(events, "ts", "event_type")
-    write_counts(counts, f"{path}/out", f"{path}/progress").awaitTermination()
-    current = current_counts(
-        spark, f"{path}/out", "day date, event_type string, count bigint", "event_type"
+    write_counts(counts, result, f"{path}/progress").awaitTermination()
+    return result.scan(spark).select(
+        F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "count"
     )
-    return current.withColumn("day", F.date_format("day", "yyyy-MM-dd"))

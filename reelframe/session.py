@@ -16,7 +16,7 @@ DEFAULTS = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
-_local_scratch: dict[str, str] = {}
+_prepared: set[str] = set()
 
 
 def build_session(app_name: str = "reelframe", **conf: str) -> SparkSession:
@@ -27,23 +27,42 @@ def build_session(app_name: str = "reelframe", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def scratch_root(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
     Every executor must be able to read what another one wrote there, so a machine-local
-    folder is made up only for a local master, as in tests.
+    folder is used only with a local master, as in tests.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="reelframe-")
-    return _local_scratch[app]
+    return tempfile.gettempdir()
+
+
+def _locate(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path as it knows it."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in this application's part of the shared folder.
+
+    Tables written there are read lazily by the frames built on them, so they are kept until
+    the driver ends and removed then.
+    """
+    folder = f"{shared_folder(spark)}/reelframe-{spark.sparkContext.applicationId}"
+    if folder not in _prepared:
+        files, location = _locate(spark, folder)
+        files.mkdirs(location)
+        files.deleteOnExit(location)
+        _prepared.add(folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a path made by ``scratch_path`` that no frame will read again."""
+    files, location = _locate(spark, path)
+    files.delete(location, True)

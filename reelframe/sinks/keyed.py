@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reelframe.operators.cells import latest_rows
 from reelframe.schema import ROW_KEY
-from reelframe.session import scratch_path
+from reelframe.session import drop_scratch, scratch_path
 
 
 def bulk_replace_sorted(rows: DataFrame, path: str, keys: tuple[str, ...] = (ROW_KEY,)) -> None:
@@ -69,8 +69,9 @@ class KeyedTable:
         A null is a cell that is not written: it keeps its old value, as do columns that
         ``changes`` lacks. Changes of one key are first reduced to one row, before the
         shuffle, so a key with very many changes is not gathered in one task. Folders
-        without a changed key are neither read nor written. The folders are replaced when
-        the whole job has succeeded, so a lost executor leaves the old ones in place.
+        without a changed key are neither read nor written. ``changes`` is evaluated once. The
+        folders are replaced when the whole job has succeeded, so a lost executor leaves the
+        old ones in place.
         """
         spark = changes.sparkSession
         staged_path = scratch_path(spark, "upsert")
@@ -81,9 +82,7 @@ class KeyedTable:
         if stored is None:
             merged = staged.repartitionByRange(self.bucket, self.key)
         else:
-            # At most ``buckets`` numbers; as literals they prune folders before any is listed.
-            touched = [row[0] for row in staged.select(self.bucket).distinct().collect()]
-            merged = self._merge(stored.filter(F.col(self.bucket).isin(touched)), staged)
+            merged = self._merge(self._touched(stored, staged), staged)
         (
             merged.sortWithinPartitions(self.bucket, self.key)
             .write.mode("overwrite")
@@ -91,6 +90,23 @@ class KeyedTable:
             .partitionBy(self.bucket)
             .parquet(self.path)
         )
+        drop_scratch(spark, staged_path)
+
+    def _touched(self, stored: DataFrame, staged: DataFrame) -> DataFrame:
+        """The stored rows that must be written again.
+
+        Those in folders with a changed key; the whole table if there is a new column, so
+        that all files keep one schema. The folder numbers, at most ``buckets``, become
+        literals, which prune folders when the scan is planned.
+        """
+        types, new_types = dict(stored.dtypes), dict(staged.dtypes)
+        differing = [c for c in new_types if types.get(c, new_types[c]) != new_types[c]]
+        if differing:
+            raise ValueError(f"types differ from those of {self.path}: {differing}")
+        if new_types.keys() - types.keys():
+            return stored
+        numbers = [row[0] for row in staged.select(self.bucket).distinct().collect()]
+        return stored.filter(F.col(self.bucket).isin(numbers))
 
     def _merge(self, stored: DataFrame, staged: DataFrame) -> DataFrame:
         """At most two rows per key, brought together by the range shuffle the files need anyway."""

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from reelframe.sinks import KeyedTable
+
 SECONDS_PER_DAY = 86400
 
 
@@ -37,25 +39,21 @@ def count_events(events: DataFrame, time: str, kind: str, lateness: str = "1 day
     return counts.select(day.alias("day"), kind, "count")
 
 
-def write_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process what is there, writing changed counts after each micro-batch.
+def write_counts(counts: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
+    """Process what is there, putting changed counts into a keyed table after each micro-batch.
 
-    A micro-batch that is run again overwrites its own folder, so nothing counts twice.
+    Each count replaces the one before, so a micro-batch that is run again counts nothing
+    twice, and the table does not grow with the number of micro-batches.
     """
+    keyed = counts.withColumn(table.key, F.concat_ws("/", *counts.columns[:2]))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        table.upsert(batch)
 
     return (
-        counts.writeStream.outputMode("update")
+        keyed.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write_batch)
         .start()
     )
-
-
-def current_counts(spark: SparkSession, path: str, schema: str, kind: str) -> DataFrame:
-    """The last count written for each day and type. Counts only grow."""
-    written = spark.read.schema(schema).parquet(path)
-    return written.groupBy("day", kind).agg(F.max("count").alias("count"))

@@ -115,12 +115,18 @@ def test_upsert_takes_the_last_of_many_changes(spark, table):
     assert "version" not in table.scan(spark).columns
 
 
-def test_upsert_adds_columns(spark, table):
+def test_new_column_reaches_all_files(spark, table):
     table.upsert(spark.createDataFrame([("1", "x")], "row_key string, extra string"))
-    # Folders that were not rewritten lack the column.
-    merged = spark.read.option("mergeSchema", True).parquet(table.path)
-    assert merged.filter("row_key = '1'").first().extra == "x"
-    assert merged.count() == 200
+    got = table.scan(spark)
+    assert got.filter("row_key = '1'").first().extra == "x"
+    assert got.filter("extra is null").count() == 199
+    schemas = {spark.read.parquet(f).schema.simpleString() for f in snapshot(table.path)}
+    assert len(schemas) == 1
+
+
+def test_other_type_is_refused(spark, table):
+    with pytest.raises(ValueError, match="state"):
+        table.upsert(spark.createDataFrame([("1", 5)], "row_key string, state int"))
 
 
 def test_upsert_of_nothing_changes_nothing(spark, table):

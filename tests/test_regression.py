@@ -123,7 +123,7 @@ def test_score_fill_keeps_own_scores_and_judges_rows_alone(spark, frame):
             ("1", 1.0, 100.0, 0.0, 7.2),
             ("2", 1.0, 100.0, 0.0, 0.0),
             ("3", None, 100.0, 0.0, 0.0),
-            ("4", None, None, None, 3.0),
+            ("4", None, None, None, 3.25),
             ("5", 1.0, 1.0, 1.0, None),
         ],
         SCHEMA,
@@ -132,7 +132,7 @@ def test_score_fill_keeps_own_scores_and_judges_rows_alone(spark, frame):
     got = {r.id: r.y for r in filled.collect()}
     weights = model.coefficients.toArray()
     expected = round(float(model.intercept + weights @ [1.0, 100.0, 0.0]), 1)
-    assert got == {"1": 7.2, "2": expected, "3": None, "4": 3.0}
+    assert got == {"1": 7.2, "2": expected, "3": None, "4": 3.25}
     plan = physical_plan(filled)
     assert "Exchange" not in plan and "Join" not in plan and "Python" not in plan
 

@@ -1,6 +1,9 @@
+import os
+
 import pytest
 
 from reelframe import scratch_path, session
+from reelframe.session import drop_scratch
 
 
 class FakeConf:
@@ -21,13 +24,21 @@ class FakeSession:
 
 def test_scratch_is_where_the_session_says(spark):
     root = spark.conf.get("spark.checkpoint.dir")
-    assert scratch_path(spark, "x").startswith(f"{root}/x-")
+    assert scratch_path(spark, "x").startswith(f"{root}/reelframe-{spark.sparkContext.applicationId}/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
 def test_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.scratch_root(FakeSession(None, "yarn"))
-    assert session.scratch_root(FakeSession("hdfs://shared/x/", "yarn")) == "hdfs://shared/x"
+        session.shared_folder(FakeSession(None, "yarn"))
+    assert session.shared_folder(FakeSession("hdfs://shared/x/", "yarn")) == "hdfs://shared/x"
     local = FakeSession(None, "local[2]")
-    assert session.scratch_root(local) == session.scratch_root(local)
+    assert session.shared_folder(local) == session.shared_folder(local)
+
+
+def test_dropped_scratch_is_gone(spark):
+    path = scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    drop_scratch(spark, path)
+    assert not os.path.exists(path)
+    assert os.path.exists(os.path.dirname(path))

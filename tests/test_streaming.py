@@ -3,9 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from reelframe.streaming import count_events, current_counts, stream_files, write_counts
-
-SCHEMA = "day date, kind string, count bigint"
+from reelframe.sinks import KeyedTable
+from reelframe.streaming import count_events, stream_files, write_counts
 
 
 @pytest.fixture
@@ -25,8 +24,9 @@ def write_events(spark, path, name, events):
 
 def run(spark, source, out, progress):
     counts = count_events(stream_files(spark, f"{source}/*"), "at", "kind")
-    write_counts(counts, out, progress).awaitTermination()
-    rows = current_counts(spark, out, SCHEMA, "kind").collect()
+    table = KeyedTable(out, buckets=3)
+    write_counts(counts, table, progress).awaitTermination()
+    rows = table.scan(spark).collect()
     return {(r.day.isoformat(), r.kind): r["count"] for r in rows}
 
 
