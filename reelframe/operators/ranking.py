@@ -33,19 +33,20 @@ def top_k(rows: DataFrame, order: Sequence[Column], k: int, name: str = "id") ->
 
 
 def row_index(rows: DataFrame, order: Sequence[Column], name: str = "id") -> DataFrame:
-    """All rows numbered 0, 1, 2, ... in an order that has no ties.
+    """All rows numbered 0, 1, 2, ... in order; rows that tie go by a hash of their values.
 
     A window over all rows would be one task. Instead the rows are range-sorted once and
     written with (partition, position in partition); the number of rows of each partition
     then gives its offset. The written table pins the partition bounds, which a second run
     of the sort would sample anew. Equal leading values are split by the later order
-    columns, so a hot value does not fill one partition. The broadcast side has one row per
-    partition of the sort.
+    columns and the hash, so a hot value does not fill one partition. The broadcast side has
+    one row per partition of the sort.
     """
     spark = rows.sparkSession
     path = scratch_path(spark, "row-index")
     slot, part, before = "_slot", "_part", "_before"
-    placed = rows.orderBy(*order).withColumn(slot, F.monotonically_increasing_id())
+    ordered = rows.orderBy(*order, F.xxhash64(*rows.columns))
+    placed = ordered.withColumn(slot, F.monotonically_increasing_id())
     placed.write.parquet(path)
     stored = (
         spark.read.schema(placed.schema)
@@ -74,7 +75,7 @@ def fixed_slots(
     number: str = "nums",
 ) -> DataFrame:
     """Exactly n rows: those with index 0 to n-1, gaps filled with (null, 0)."""
-    slots = rows.sparkSession.range(n).withColumnRenamed("id", index)
+    slots = rows.sparkSession.range(0, n, numPartitions=1).withColumnRenamed("id", index)
     filled = rows.filter(F.col(index) < n).select(index, label, number)
     return slots.join(filled, index, "left").select(
         index, label, F.coalesce(number, F.lit(0)).cast("bigint").alias(number)

@@ -14,8 +14,17 @@ from reelframe.session import drop_scratch, scratch_path
 
 
 def bulk_replace_sorted(rows: DataFrame, path: str, keys: tuple[str, ...] = (ROW_KEY,)) -> None:
-    """Replace the files at ``path`` by files that follow each other in key order."""
-    rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    """Replace the files at ``path`` by files that follow each other in key order.
+
+    Rows with equal keys may spread over neighbouring files, by a hash of their values, so a
+    hot key does not end up in one task.
+    """
+    (
+        rows.repartitionByRange(*keys, F.xxhash64(*rows.columns))
+        .sortWithinPartitions(*keys)
+        .write.mode("overwrite")
+        .parquet(path)
+    )
 
 
 @dataclass(frozen=True)

@@ -15,7 +15,7 @@ def literal_rows(spark: SparkSession, rows: Sequence[tuple], *names: str) -> Dat
     structs = [
         F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names, strict=True)]) for row in rows
     ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    return spark.range(0, 1, numPartitions=1).select(F.inline(F.array(*structs)))
 
 
 def inline_rows(

@@ -196,6 +196,23 @@ def test_bulk_files_follow_each_other(spark, tmp_path):
     assert all(a.hi < b.lo for a, b in zip(bounds, bounds[1:], strict=False))
 
 
+def test_bulk_files_split_a_hot_key(spark, tmp_path):
+    path = str(tmp_path / "sorted")
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("row_key"),
+        F.col("id").alias("version"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        bulk_replace_sorted(rows, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    stored = spark.read.parquet(path)
+    assert stored.count() == 5000
+    files = stored.filter("row_key = 'hot'").select(F.input_file_name()).distinct().count()
+    assert files > 1
+
+
 def test_latest_rows_passes_over_nulls(spark):
     rows = spark.createDataFrame(
         [("k", 1, "a", "x"), ("k", 2, None, "y"), ("k", 3, "c", None)],

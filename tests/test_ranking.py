@@ -36,6 +36,20 @@ def test_row_index_counts_through_a_hot_value(spark):
     assert sorted(r.n for r in got) == list(range(3000))
 
 
+def test_row_index_spreads_and_settles_ties(spark):
+    """All rows share the order column: they still fill several partitions, the same way each time."""
+    rows = spark.range(4000).select(F.lit(1).alias("p"), F.col("id").alias("row_key"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        runs = [row_index(rows.repartition(n), [F.col("p")], "n") for n in (3, 5)]
+        first, second = ({r.row_key: r.n for r in run.collect()} for run in runs)
+        assert first == second
+        assert sorted(first.values()) == list(range(4000))
+        assert len(runs[0].inputFiles()) == 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_row_index_has_no_window_over_the_rows(spark):
     rows = spark.range(100).withColumnRenamed("id", "row_key")
     plan = physical_plan(row_index(rows, [F.col("row_key")], "n"))
