@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A comma followed by an even number of quotes, up to the end of the line.
+# Fixed value: a comma followed by an even number of quotes, up to the end of the line.
 FIELD_SEPARATOR = r',(?=([^"]*"[^"]*")*[^"]*$)'
 
 LONG_MAX = 2**63 - 1

@@ -1,5 +1,7 @@
 from reelframe.plans.charts import popularity_chart, runtime_chart
 from reelframe.plans.jobs import (
+    genre_histogram,
+    keyword_top100,
     load_job,
     popularity_job,
     popularity_top10,
@@ -10,6 +12,8 @@ from reelframe.plans.jobs import (
 )
 
 __all__ = [
+    "genre_histogram",
+    "keyword_top100",
     "load_job",
     "popularity_chart",
     "popularity_job",

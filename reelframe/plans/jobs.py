@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.functions import to_float, to_int
+from reelframe.functions import json_names, to_float, to_int, unquote_field
 from reelframe.operators import (
     cast_floats,
     descending,
+    exploded_counts,
     fit_metrics,
     fit_scores,
     label_split,
     model_inputs,
+    nonblank_rows,
     runtime_histogram,
     score_fill,
+    top_counts,
     top_k,
 )
 from reelframe.schema import (
@@ -75,6 +78,17 @@ def runtime_job(spark: SparkSession, movies: KeyedTable, result: KeyedTable) ->
     result.upsert(runtime_histogram(movies.scan(spark)).select("id", "runtime", "count"))
 
 
+def genre_histogram(movies: DataFrame, column: str = "genres", name: str = "genre") -> DataFrame:
+    """Films per genre, from JSON lists as they stand in the CSV file."""
+    filled = nonblank_rows(movies.select(column), column)
+    return exploded_counts(filled, json_names(unquote_field(column)), name)
+
+
+def keyword_top100(movies: DataFrame, column: str = "keywords", name: str = "keyword") -> DataFrame:
+    """The most frequent keywords, ranked from 0."""
+    return top_counts(genre_histogram(movies, column, name), name)
+
+
 def score_inputs(movies: DataFrame) -> DataFrame:
     """Id as text, label and features as floats."""
     columns = [*SCORE_FEATURES, SCORE_LABEL]

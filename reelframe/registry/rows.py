@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from reelframe.functions import (
     float_to_long,
-    json_names,
     json_text,
     split_quoted,
     title_head,
@@ -36,6 +35,7 @@ from reelframe.operators import (
     union_all,
     unique_id,
 )
+from reelframe.plans import genre_histogram
 from reelframe.registry.base import query, table
 from reelframe.schema import TOP_TITLES
 
@@ -378,8 +378,10 @@ def _(spark, sf_dir):
         F.split("p_name", " "),
         lambda word, i: F.struct(i.cast("bigint").alias("id"), word.alias("name")),
     )
-    genres = table(spark, sf_dir, "part").select(F.to_json(words).alias("genres"))
-    return exploded_counts(genres, json_names("genres"), "name")
+    json = F.replace(F.to_json(words), F.lit('"'), F.lit('""'))
+    field = F.concat(F.lit('"'), json, F.lit('"'))
+    parts = table(spark, sf_dir, "part").select(field.alias("genres"))
+    return genre_histogram(parts, "genres", "name")
 
 
 @query(

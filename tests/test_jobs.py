@@ -3,6 +3,8 @@
 import pytest
 
 from reelframe.plans import (
+    genre_histogram,
+    keyword_top100,
     load_job,
     popularity_chart,
     popularity_job,
@@ -16,12 +18,19 @@ from reelframe.sinks import KeyedTable
 from reelframe.sources import inline_rows
 
 
+def json_field(names):
+    entries = ", ".join(f'{{""id"": {i}, ""name"": ""{n}""}}' for i, n in enumerate(names))
+    return f'"[{entries}]"'
+
+
 def raw_line(i, **values):
     fields = dict.fromkeys(MOVIE_COLUMNS, "x")
     fields |= {
         "id": str(1000 + i),
         "original_title": f'"Film {i}: the ""café"", part"',
         "popularity": str(i / 2),
+        "genres": json_field(["Drama"] if i % 2 else ["Drama", "Music, live"]),
+        "keywords": json_field([f"word{j}" for j in range(i % 7)]) if i % 5 else "",
         "runtime": "90" if i % 3 == 0 else "100" if i % 3 == 1 else "0",
         "budget": str(i * 10),
         "revenue": str(i * 30),
@@ -76,6 +85,17 @@ def test_runtime(spark, movies, tmp_path):
     assert (slices[2].productName, slices[2].nums) == (None, 0)
 
 
+def test_genres_and_keywords(spark, movies):
+    films = movies.scan(spark).filter("row_key <> ''")
+    genres = {r.genre: r["count"] for r in genre_histogram(films).collect()}
+    assert genres == {"Drama": 300, "Music, live": 150}
+    words = [(r.id, r.keyword, r["count"]) for r in keyword_top100(films).orderBy("id").collect()]
+    expected = [
+        (j, f"word{j}", sum(1 for i in range(1, 301) if i % 5 and i % 7 > j)) for j in range(6)
+    ]
+    assert words == expected
+
+
 @pytest.mark.parametrize("leak", [False, True])
 def test_score(spark, movies, tmp_path, leak):
     result = KeyedTable(str(tmp_path / "scores"), key="id", buckets=2)

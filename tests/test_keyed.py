@@ -55,7 +55,12 @@ def test_cells_of_a_hot_key_are_combined_before_the_shuffle(spark):
 
 def test_cells_by_qualifier_decodes(spark):
     cells = spark.createDataFrame(
-        [("r1", "n", "12.5", 1), ("r2", "n", "x", 1), ("r3", "m", "1", 1), ("r4", "n", "9007199254740993", 1)],
+        [
+            ("r1", "n", "12.5", 1),
+            ("r2", "n", "x", 1),
+            ("r3", "m", "1", 1),
+            ("r4", "n", "9007199254740993", 1),
+        ],
         CELLS,
     )
     assert rows_of(cells_by_qualifier(cells, "n", "long"), "row_key", "value") == [
