@@ -1,5 +1,5 @@
 """Spark jobs and DataFrame operators for a wide, string-typed film catalogue."""
 
-from reelframe.session import build_session, scratch_path
+from reelframe.session import build_session, scratch_path, sized_for
 
-__all__ = ["build_session", "scratch_path"]
+__all__ = ["build_session", "scratch_path", "sized_for"]

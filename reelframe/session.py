@@ -16,6 +16,10 @@ DEFAULTS = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+MEBIBYTE = 2**20
+SHUFFLE_PART = 256 * MEBIBYTE
+MOST_SHUFFLE_PARTS = 50_000
+
 _prepared: set[str] = set()
 
 
@@ -27,6 +31,21 @@ def build_session(app_name: str = "reelframe", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def sized_for(shuffled_bytes: int) -> dict[str, str]:
+    """Settings for the largest shuffle a job makes, to be passed to ``build_session``.
+
+    Adaptive execution merges small shuffle partitions but does not split large ones, so
+    their number has to suit the data: parts that fit in memory while they are sorted, but
+    not so many that keeping track of them is the bottleneck. Beyond that, sorts spill.
+    """
+    parts = min(max(-(-shuffled_bytes // SHUFFLE_PART), 200), MOST_SHUFFLE_PARTS)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PART),
+        "spark.sql.files.maxPartitionBytes": str(SHUFFLE_PART),
+    }
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 

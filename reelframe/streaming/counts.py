@@ -39,9 +39,13 @@ def count_events(events: DataFrame, time: str, kind: str, lateness: str = "1 day
     return counts.select(day.alias("day"), kind, "count")
 
 
-def write_counts(counts: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
-    """Process what is there, putting changed counts into a keyed table after each micro-batch.
+def write_counts(
+    counts: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Put changed counts into a keyed table after each micro-batch.
 
+    Runs on with a micro-batch ``every`` so often ("1 minute"), or else ends when all there
+    is has been read.
     Each count replaces the one before, so a micro-batch that is run again counts nothing
     twice, and the table does not grow with the number of micro-batches.
     """
@@ -50,10 +54,6 @@ def write_counts(counts: DataFrame, table: KeyedTable, checkpoint: str) -> Strea
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         table.upsert(batch)
 
-    return (
-        keyed.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(write_batch)
-        .start()
-    )
+    writer = keyed.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    paced = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return paced.foreachBatch(write_batch).start()

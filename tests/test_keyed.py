@@ -1,6 +1,8 @@
 import os
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from plans import physical_plan
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from reelframe.operators import (
     upsert_cells,
     wide_to_cells,
 )
+from reelframe.session import scratch_path
 from reelframe.sinks import KeyedTable, bulk_replace_sorted
 from reelframe.sources import cells_by_qualifier, key_range, keyed_scan
 
@@ -224,3 +227,31 @@ def test_latest_rows_passes_over_nulls(spark):
         "row_key string, version int, p string, q string",
     )
     assert tuple(latest_rows(rows, "row_key", "version").first()) == ("k", "c", "y")
+
+
+changes = st.lists(
+    st.tuples(
+        st.sampled_from("abc"),
+        st.one_of(st.none(), st.text("xy", max_size=2)),
+        st.one_of(st.none(), st.just("q")),
+    ),
+    min_size=1,
+    max_size=6,
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(changes, min_size=1, max_size=3))
+def test_upserts_equal_a_dictionary(spark, batches):
+    """Each batch in order, each cell by its last non-null write."""
+    keyed = KeyedTable(scratch_path(spark, "model"), buckets=3)
+    model = {}
+    for batch in batches:
+        rows = [(*change, i) for i, change in enumerate(batch)]
+        keyed.upsert(
+            spark.createDataFrame(rows, "row_key string, p string, q string, version int"), "version"
+        )
+        for key, p, q in batch:
+            old_p, old_q = model.get(key, (None, None))
+            model[key] = (old_p if p is None else p, old_q if q is None else q)
+    assert {r.row_key: (r.p, r.q) for r in keyed.scan(spark).collect()} == model

@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from reelframe import scratch_path, session
+from reelframe import scratch_path, session, sized_for
 from reelframe.session import drop_scratch
 
 
@@ -42,3 +42,12 @@ def test_dropped_scratch_is_gone(spark):
     drop_scratch(spark, path)
     assert not os.path.exists(path)
     assert os.path.exists(os.path.dirname(path))
+
+
+def test_shuffle_parts_follow_the_data():
+    def parts(size):
+        return int(sized_for(size)["spark.sql.shuffle.partitions"])
+
+    assert parts(10**6) == 200
+    assert parts(2**40) == 4096
+    assert parts(100 * 10**12) == 50_000

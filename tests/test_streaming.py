@@ -55,6 +55,21 @@ def test_counts_grow_over_restarts_and_late_rows_drop(spark, zone, tmp_path):
     assert third == second | {("2024-03-20", "x"): 2}
 
 
+def test_paced_stream_picks_up_new_files(spark, tmp_path):
+    source, out, progress = (str(tmp_path / p) for p in ("in", "out", "progress"))
+    write_events(spark, source, "a", [("2024-01-01T00:00:00", "x")])
+    table = KeyedTable(out, buckets=2)
+    counts = count_events(stream_files(spark, f"{source}/*"), "at", "kind")
+    running = write_counts(counts, table, progress, every="1 second")
+    try:
+        running.processAllAvailable()
+        write_events(spark, source, "b", [("2024-01-01T01:00:00", "x")])
+        running.processAllAvailable()
+        assert [r["count"] for r in table.scan(spark).collect()] == [2]
+    finally:
+        running.stop()
+
+
 def test_rows_are_counted_before_the_shuffle(spark, tmp_path):
     source = str(tmp_path / "in")
     write_events(spark, source, "a", [("2024-01-01T00:00:00", "x")])
