@@ -76,7 +76,8 @@ class KeyedTable:
         occurs once.
 
         A null is a cell that is not written: it keeps its old value, as do columns that
-        ``changes`` lacks. Changes of one key are first reduced to one row, before the
+        ``changes`` lacks. A new column makes all folders be rewritten, so that all files keep
+        one schema. Changes of one key are first reduced to one row, before the
         shuffle, so a key with very many changes is not gathered in one task. Folders
         without a changed key are neither read nor written. ``changes`` is evaluated once. The
         folders are replaced when the whole job has succeeded, so a lost executor leaves the
@@ -85,37 +86,37 @@ class KeyedTable:
         spark = changes.sparkSession
         staged_path = scratch_path(spark, "upsert")
         latest = latest_rows(changes, self.key, version) if version else changes
-        latest.withColumn(self.bucket, self._place()).write.parquet(staged_path)
-        staged = spark.read.parquet(staged_path)
+        placed = latest.withColumn(self.bucket, self._place())
+        placed.write.parquet(staged_path)
+        staged = spark.read.schema(placed.schema).parquet(staged_path)
         stored = self._stored(spark)
         if stored is None:
-            merged = staged.repartitionByRange(self.bucket, self.key)
+            self._write(staged.repartitionByRange(self.bucket, self.key))
         else:
-            merged = self._merge(self._touched(stored, staged), staged)
+            self._check_types(stored, staged)
+            # At most ``buckets`` numbers; as literals they prune folders when a scan is planned.
+            touched = [row[0] for row in staged.select(self.bucket).distinct().collect()]
+            if touched:
+                widened = set(staged.columns) - set(stored.columns)
+                old = stored if widened else stored.filter(F.col(self.bucket).isin(touched))
+                self._write(self._merge(old, staged))
+        drop_scratch(spark, staged_path)
+
+    def _write(self, rows: DataFrame) -> None:
+        """Replace the folders that occur in ``rows``, which are ranges of folder and key."""
         (
-            merged.sortWithinPartitions(self.bucket, self.key)
+            rows.sortWithinPartitions(self.bucket, self.key)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(self.bucket)
             .parquet(self.path)
         )
-        drop_scratch(spark, staged_path)
 
-    def _touched(self, stored: DataFrame, staged: DataFrame) -> DataFrame:
-        """The stored rows that must be written again.
-
-        Those in folders with a changed key; the whole table if there is a new column, so
-        that all files keep one schema. The folder numbers, at most ``buckets``, become
-        literals, which prune folders when the scan is planned.
-        """
-        types, new_types = dict(stored.dtypes), dict(staged.dtypes)
-        differing = [c for c in new_types if types.get(c, new_types[c]) != new_types[c]]
+    def _check_types(self, stored: DataFrame, staged: DataFrame) -> None:
+        types = dict(stored.dtypes)
+        differing = [c for c, t in staged.dtypes if types.get(c, t) != t]
         if differing:
             raise ValueError(f"types differ from those of {self.path}: {differing}")
-        if new_types.keys() - types.keys():
-            return stored
-        numbers = [row[0] for row in staged.select(self.bucket).distinct().collect()]
-        return stored.filter(F.col(self.bucket).isin(numbers))
 
     def _merge(self, stored: DataFrame, staged: DataFrame) -> DataFrame:
         """At most two rows per key, brought together by the range shuffle the files need anyway."""
