@@ -99,9 +99,12 @@ def round_1(column: Column | str) -> Column:
 
 
 def json_names(column: Column | str) -> Column:
-    """The names in ``[{"id": 1, "name": "x"}, ...]``; broken JSON gives null."""
+    """The names in ``[{"id": 1, "name": "x"}, ...]``, entries without one left out.
+
+    Broken JSON gives null.
+    """
     entries = F.from_json(_col(column), "array<struct<id:bigint,name:string>>")
-    return F.transform(entries, lambda entry: entry["name"])
+    return F.array_compact(F.transform(entries, lambda entry: entry["name"]))
 
 
 def json_text(*columns: Column | str) -> Column:
