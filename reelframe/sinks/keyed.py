@@ -77,19 +77,22 @@ class KeyedTable:
 
         A null is a cell that is not written: it keeps its old value, as do columns that
         ``changes`` lacks. A new column makes all folders be rewritten, so that all files keep
-        one schema. Changes of one key are first reduced to one row, before the
-        shuffle, so a key with very many changes is not gathered in one task. Folders
-        without a changed key are neither read nor written. ``changes`` is evaluated once. The
-        folders are replaced when the whole job has succeeded, so a lost executor leaves the
-        old ones in place.
+        one schema. Changes of one key are first reduced to one row, before the shuffle, so a
+        key with very many changes is not gathered in one task. Folders without a changed key
+        are neither read nor written. ``changes`` is evaluated once. The folders are replaced
+        when the whole job has succeeded, so a lost executor leaves the old ones in place.
         """
         spark = changes.sparkSession
-        staged_path = scratch_path(spark, "upsert")
         latest = latest_rows(changes, self.key, version) if version else changes
         placed = latest.withColumn(self.bucket, self._place())
+        stored = self._stored(spark)
+        if stored is None and version:
+            # The reduced changes lie in shuffle files, which the range sort can read twice.
+            self._write(placed.repartitionByRange(self.bucket, self.key))
+            return
+        staged_path = scratch_path(spark, "upsert")
         placed.write.parquet(staged_path)
         staged = spark.read.schema(placed.schema).parquet(staged_path)
-        stored = self._stored(spark)
         if stored is None:
             self._write(staged.repartitionByRange(self.bucket, self.key))
         else:
