@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.llm import bpe
+from reelframe.llm import bpe, langid, pii, toxicity
 
 LLM_QUERIES = {}
 LLM_ORACLES = {}
@@ -35,3 +35,32 @@ def token_digests(encoded: DataFrame) -> DataFrame:
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return token_digests(bpe.encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
+
+
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    counts = [
+        F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long").alias(f"n_{kind}")  # noqa: B023
+        for rank, kind in enumerate(pii.BASE)
+    ]
+    names = pii.span_names(F.col("base"))
+    return found.select("doc_id", *counts, F.sha2(names, 256).alias("base_sha256"), pii.span_names(F.col("spans")).alias("spans"))
+
+
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = langid.fit(docs.where(~langid.held_out(4, 2)))
+    found = langid.identify(docs, network)
+    return found.select("doc_id", langid.held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    machine = toxicity.fit(docs, labels.where(~toxicity.held_out(5, 0)))
+    found = toxicity.score(docs, machine)
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return found.select("doc_id", toxicity.held_out(5, 0).alias("held_out"), "score", predicted)
