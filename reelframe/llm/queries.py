@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.llm import bpe, langid, pii, toxicity
+from reelframe.llm import bpe, fingerprints, htmltext, langid, licenses, pii, toxicity
 
 LLM_QUERIES = {}
 LLM_ORACLES = {}
@@ -64,3 +64,32 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score(docs, machine)
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return found.select("doc_id", toxicity.held_out(5, 0).alias("held_out"), "score", predicted)
+
+
+@query
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = htmltext.extract(pages, htmltext.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.with_next(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
+@query
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = licenses.scan(docs, licenses.Index(licenses.document_counts(docs)))
+    joined = {name: F.concat_ws(",", name) for name in ("base_labels", "labels")}
+    return found.withColumns(joined)
