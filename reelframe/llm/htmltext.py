@@ -11,7 +11,7 @@ import html
 import random
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from reelframe.llm.workers import map_rows
 SAMPLE_PAGES = 400
 STEPS = 200
 RATE = 0.1
-SHRINK = 1e-3
+SHRINK = 1e-4
 
 # Fixed values of the markup language: elements that start a block, those whose content is no
 # text, those that a new element of the same kind closes, and those that hold the latter.
@@ -59,6 +59,7 @@ class Block:
     text: str
     above: tuple[str, ...]
     names: frozenset[str]
+    inner: frozenset[str]
     linked: float
 
 
@@ -76,7 +77,8 @@ def blocks_of(page: str) -> list[Block]:
         text = " ".join("".join(parts).split())
         if text and place is not None:
             names = frozenset().union(*(found for _, found in place))
-            blocks.append(Block(text, tuple(name for name, _ in place), names, linked / len(text)))
+            inner = next((found for _, found in reversed(place) if found), frozenset())
+            blocks.append(Block(text, tuple(name for name, _ in place), names, inner, linked / len(text)))
         parts.clear()
         linked, place = 0, None
 
@@ -145,6 +147,7 @@ def features(block: Block, index: int, count: int) -> list[str]:
     last, first = block.text[-1], block.text[0]
     found = {f"above {name}" for name in block.above}
     found |= {f"named {name}" for name in block.names}
+    found |= {f"named nearest {name}" for name in block.inner}
     found.add(f"words {min(words, 64).bit_length()}")
     found.add(f"linked {round(min(block.linked, 1.0) * 3)}")
     found.add("ends a sentence" if last in ".!?…" else "ends in a word")
@@ -277,13 +280,13 @@ def composed(main: list[str], rest: list[str], seed: int) -> tuple[list[Block],
             linked = 1.0 if rng.random() < 0.4 else 0.0
             for _ in range(rng.randint(1, 1 if within else 4)):
                 text = rng.choice(main if rng.random() < 0.4 else rest) if rest else rng.choice(main)
-                blocks.append(Block(text, path, own | (names if inside else frozenset()), linked))
+                blocks.append(Block(text, path, own | (names if inside else frozenset()), own or (names if inside else own), linked))
                 labels.append(0)
 
     around(rng.randint(1, 4))
     for i, text in enumerate(main):
         tag = "h1" if i == 0 else rng.choice(["p", "p", "p", "p", "li", "h2", "blockquote", "pre"])
-        blocks.append(Block(text, (*above, tag), names, 0.0))
+        blocks.append(Block(text, (*above, tag), names, names, 0.0))
         labels.append(1)
         if i and rng.random() < 0.15:
             around(1, within=True)
@@ -307,7 +310,7 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Field:
         main = [b.text for b, y in zip(blocks, labels, strict=True) if y]
         rest = [b.text for b, y in zip(blocks, labels, strict=True) if not y]
         if number % 2:
-            blocks = [Block(b.text, tuple(t for t in b.above if t not in CONTAINERS), b.names, b.linked) for b in blocks]
+            blocks = [replace(b, above=tuple(t for t in b.above if t not in CONTAINERS)) for b in blocks]
         training.append((blocks, labels))
         if main:
             training.append(composed(main, rest, number))
