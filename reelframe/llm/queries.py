@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.llm import bpe, fingerprints, htmltext, langid, licenses, neardup, pii, toxicity
+from reelframe.llm import bpe, decontamination, fingerprints, htmltext, langid, licenses, neardup, pii, toxicity
 
 LLM_QUERIES = {}
 LLM_ORACLES = {}
@@ -66,6 +66,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", toxicity.held_out(5, 0).alias("held_out"), "score", predicted)
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
