@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.llm import bpe, decontamination, fingerprints, htmltext, langid, licenses, neardup, pii, toxicity
+from reelframe.llm import bpe, decontamination, fingerprints, htmltext, langid, licenses, neardup, pii, substrings, toxicity
 
 LLM_QUERIES = {}
 LLM_ORACLES = {}
@@ -103,3 +103,8 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(docs, licenses.Index(licenses.document_counts(docs)))
     joined = {name: F.concat_ws(",", name) for name in ("base_labels", "labels")}
     return found.withColumns(joined)
+
+
+@query
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeats(table(spark, sf_dir, "documents"))
