@@ -23,7 +23,8 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from reelframe.llm.workers import map_rows
 
@@ -305,3 +306,12 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             }
 
     return map_rows(docs.select(docs["doc_id"].cast("long"), "text"), task, ENCODED)
+
+
+def digests() -> list[Column]:
+    """Counts of ids, SHA-256 of the ids in decimal, joined by commas, and of the decoded bytes."""
+    return [
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    ]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelframe.llm.workers import map_rows
+from reelframe.llm.workers import map_rows, reach_package, small
 
 WIDTHS = (2, 3, 4, 5)
 FILTERS = 8
@@ -155,6 +155,30 @@ def fit(labelled: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Networ
     return network
 
 
+def means(network: Network, texts: list[str]) -> Iterator[np.ndarray]:
+    """Mean probabilities of each text; windows of short texts share a pass."""
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    for i, text in enumerate(texts):
+        waiting.append(windows_of(text.encode()))
+        if i + 1 == len(texts) or sum(len(sizes) for _, sizes in waiting) >= BATCH:
+            found = network.probabilities(np.concatenate([w for w, _ in waiting]))
+            start = 0
+            for _, sizes in waiting:
+                own = found[start : start + len(sizes)]
+                yield (own * (sizes / sizes.sum())[:, None]).sum(0)
+                start += len(sizes)
+            waiting = []
+
+
+def predict(network: Network | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """Languages and scores of a batch of texts."""
+    known = [i for i, text in enumerate(texts) if network is not None and text and any(map(str.isalpha, text))]
+    named, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    for i, mean in zip(known, means(network, [texts[i] for i in known]), strict=True):
+        named[i], scores[i] = network.languages[int(mean.argmax())], min(1.0, float(mean.max()))
+    return named, scores
+
+
 def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     """(doc_id, lang_pred, score): the learned language of each whole text and its probability.
 
@@ -165,26 +189,23 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            named, scores = [], []
-            texts = batch.column(1).to_pylist()
-            known = [i for i, text in enumerate(texts) if network is not None and text and any(map(str.isalpha, text))]
-            named, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            for i, mean in zip(known, means([texts[i] for i in known]), strict=True):
-                named[i], scores[i] = network.languages[int(mean.argmax())], min(1.0, float(mean.max()))
+            named, scores = predict(network, batch.column(1).to_pylist())
             yield {"doc_id": batch.column(0), "lang_pred": named, "score": scores}
 
-    def means(texts: list[str]) -> Iterator[np.ndarray]:
-        """Mean probabilities of each text; windows of short texts share a pass."""
-        waiting: list[tuple[np.ndarray, np.ndarray]] = []
-        for i, text in enumerate(texts):
-            waiting.append(windows_of(text.encode()))
-            if i + 1 == len(texts) or sum(len(sizes) for _, sizes in waiting) >= BATCH:
-                found = network.probabilities(np.concatenate([w for w, _ in waiting]))
-                start = 0
-                for _, sizes in waiting:
-                    own = found[start : start + len(sizes)]
-                    yield (own * (sizes / sizes.sum())[:, None]).sum(0)
-                    start += len(sizes)
-                waiting = []
-
     return map_rows(docs.select(docs["doc_id"].cast("long"), "text"), task, PREDICTED)
+
+
+def accepted(docs: DataFrame, network: Network | None, least_score: float = 0.5) -> DataFrame:
+    """The documents, all columns, whose language is learned and scored ``least_score`` or more.
+
+    Rows without a letter go, whatever else they hold. No shuffle and no join: rows pass as they are.
+    """
+    reach_package(docs.sparkSession)
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            named, scores = predict(network, batch.column(place).to_pylist())
+            yield batch.filter(pa.array([n != UNKNOWN and s >= least_score for n, s in zip(named, scores, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -21,20 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def token_digests(encoded: DataFrame) -> DataFrame:
-    """Counts and SHA-256 of the ids in decimal, joined by commas, and of the decoded bytes."""
-    return encoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
-
-
 @query
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return token_digests(bpe.encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
+    encoded = bpe.encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return encoded.select("doc_id", *bpe.digests())
 
 
 @query
