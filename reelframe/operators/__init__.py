@@ -32,7 +32,6 @@ from reelframe.operators.regression import (
     linear_score,
     model_inputs,
     model_params,
-    moments,
     residuals,
     score_fill,
     score_predict,

@@ -74,9 +74,14 @@ def fixed_slots(
     label: str = "productName",
     number: str = "nums",
 ) -> DataFrame:
-    """Exactly n rows: those with index 0 to n-1, gaps filled with (null, 0)."""
+    """Exactly n rows: those with index 0 to n-1, gaps filled with (null, 0).
+
+    A row with another index fails the job, as it would be lost.
+    """
+    message = F.concat(F.lit(f"{n} slots are too few for index "), F.col(index).cast("string"))
+    inside = F.when(F.col(index).between(0, n - 1), F.col(index)).otherwise(F.raise_error(message).cast("bigint"))
     slots = rows.sparkSession.range(0, n, numPartitions=1).withColumnRenamed("id", index)
-    filled = rows.filter(F.col(index) < n).select(index, label, number)
+    filled = rows.select(inside.alias(index), label, number)
     return slots.join(filled, index, "left").select(
         index, label, F.coalesce(number, F.lit(0)).cast("bigint").alias(number)
     )

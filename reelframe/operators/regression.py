@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
-import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +14,6 @@ from reelframe.operators.rows import label_split
 from reelframe.schema import ELASTIC_NET_MIX, MAX_ITERATIONS, REGULARIZATION
 from reelframe.sources.inline import literal_rows
 
-# An aggregate with more than 100 fields (spark.sql.codegen.maxFields) leaves generated code.
-MOST_MOMENT_COLUMNS = 12
-
 
 def model_inputs(features: Sequence[str], label: str, leak: bool) -> list[str]:
     """The feature list, with the label added to it if ``leak``.
@@ -43,47 +38,6 @@ def assemble_features(
     ).transform(rows)
 
 
-def moments(rows: DataFrame, columns: Sequence[str]) -> DataFrame | None:
-    """One row: the number of rows, the means, and the covariances of all pairs of columns.
-
-    Sums and sums of products, so the aggregate runs in generated code and combines before
-    the shuffle. They are taken from the first row on, not from 0: that keeps the digits of
-    columns whose mean is large beside their spread. Without any row there is no result.
-    """
-    origin = rows.select(*[F.col(c).cast("double").alias(c) for c in columns]).first()
-    if origin is None:
-        return None
-    shifted = rows.select(
-        *[(F.col(c).cast("double") - F.lit(origin[c])).alias(c) for c in columns]
-    )
-    count = F.count(F.lit(1))
-    mean = {c: F.sum(c) / count for c in columns}
-    return shifted.agg(
-        count.alias("count"),
-        *[(mean[c] + F.lit(origin[c])).alias(f"avg_{c}") for c in columns],
-        *[
-            (F.sum(F.col(a) * F.col(b)) / count - mean[a] * mean[b]).alias(f"cov_{a}_{b}")
-            for a, b in combinations_with_replacement(columns, 2)
-        ],
-    )
-
-
-def _stand_in_rows(
-    count: int, means: np.ndarray, covariances: np.ndarray
-) -> list[tuple[float, ...]]:
-    """Two weighted rows per column, with the given count, means and covariances.
-
-    Along each principal axis of the correlations lies one row on either side of the mean.
-    """
-    width = len(means)
-    spread = np.sqrt(np.clip(covariances.diagonal(), 0, None))
-    scale = np.where(spread > 0, spread, 1.0)
-    lengths, axes = np.linalg.eigh(covariances / np.outer(scale, scale))
-    steps = (axes * np.sqrt(width * np.clip(lengths, 0, None))).T * spread
-    values = np.concatenate([means + steps, means - steps])
-    return [(*map(float, row), count / (2 * width)) for row in values]
-
-
 def fit_scores(
     train: DataFrame,
     features: Sequence[str],
@@ -95,15 +49,12 @@ def fit_scores(
 ) -> LinearRegressionModel:
     """Linear regression with intercept on the rows without a null in any column named here.
 
-    A least-squares fit depends on the rows only through their number, means and
-    covariances. So the rows are read once, by an aggregate, and the model is fitted to a few
-    weighted rows that agree in those. That is several times faster than handing every row
-    to the fit as a vector, and needs no cache. ``model.summary`` then speaks of the weighted
-    rows; use ``residuals`` and ``fit_metrics`` for the real ones. With more than
-    ``MOST_MOMENT_COLUMNS`` the rows themselves are handed over.
+    MLlib reads the rows once for their moments and iterates on those.
     """
     columns = _named((), features, label)
     complete = train.na.drop(subset=_named(keys, features, label)).select(*columns)
+    if complete.isEmpty():
+        raise ValueError("there are no complete rows to fit")
     estimator = LinearRegression(
         featuresCol="features",
         labelCol=label,
@@ -112,23 +63,7 @@ def fit_scores(
         regParam=regularization,
         elasticNetParam=elastic_net_mix,
     )
-    if len(columns) > MOST_MOMENT_COLUMNS:
-        return estimator.fit(assemble_features(complete, features))
-    found = moments(complete, columns)
-    if found is None:
-        raise ValueError("there are no complete rows to fit")
-    count, *numbers = found.first()
-    width = len(columns)
-    covariances = np.zeros((width, width))
-    covariances[np.triu_indices(width)] = numbers[width:]
-    covariances = np.triu(covariances) + np.triu(covariances, 1).T
-    stand_ins = literal_rows(
-        train.sparkSession,
-        _stand_in_rows(count, np.array(numbers[:width]), covariances),
-        *columns,
-        "weight",
-    )
-    return estimator.setWeightCol("weight").fit(assemble_features(stand_ins, features))
+    return estimator.fit(assemble_features(complete, features))
 
 
 def linear_score(model: LinearRegressionModel, features: Sequence[str]) -> Column:

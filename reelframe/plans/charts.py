@@ -21,7 +21,7 @@ def popularity_chart(top: DataFrame, slots: int = POPULARITY_SLOTS) -> DataFrame
 
 
 def runtime_chart(histogram: DataFrame, slots: int = RUNTIME_SLOTS) -> DataFrame:
-    """Pie chart of a running-time table, with each slice in percent of the slices shown."""
+    """Pie chart of a running-time table, with each slice in percent of all."""
     slices = histogram.select(
         "id", F.col("runtime").alias("productName"), F.col("count").alias("nums")
     )

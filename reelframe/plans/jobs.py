@@ -13,6 +13,7 @@ from reelframe.operators import (
     fit_metrics,
     fit_scores,
     label_split,
+    latest_rows,
     model_inputs,
     nonblank_rows,
     runtime_histogram,
@@ -28,30 +29,61 @@ from reelframe.schema import (
     TOP_TITLES,
     VERSION,
 )
+from reelframe.session import scratch_path, scratch_scope
 from reelframe.sinks import KeyedTable, write_csv
-from reelframe.sources import fields_to_wide, read_lines, scrub_lines, short_lines
+from reelframe.sources import (
+    fields_to_wide,
+    header_fields,
+    named_fields,
+    read_lines,
+    scrub_lines,
+    split_lines,
+    torn_line,
+)
 
-CSV_HEADER = ",".join([ROW_KEY, *MOVIE_COLUMNS])
 
+def scrub_job(spark: SparkSession, raw_path: str, csv_path: str, rejects_path: str | None = None) -> None:
+    """Raw ISO-8859-1 CSV to clean CSV, without header lines.
 
-def scrub_job(spark: SparkSession, raw_path: str, csv_path: str) -> None:
-    """Raw ISO-8859-1 CSV to clean CSV."""
-    write_csv(scrub_lines(read_lines(spark, raw_path, "ISO-8859-1")), csv_path)
+    A line torn by a line break inside quotes has an odd number of quotes. It fails the job,
+    unless a place for such lines is given.
+    """
+    lines = read_lines(spark, raw_path, "ISO-8859-1")
+    if rejects_path is None:
+        write_csv(scrub_lines(lines, torn="fail"), csv_path)
+        return
+    with scratch_scope(spark):
+        told = _staged(lines.withColumn("_torn", torn_line("value")), "_torn")
+        told.filter("_torn").select("value").write.text(rejects_path)
+        write_csv(scrub_lines(told.filter("not _torn").select("value")), csv_path)
 
 
-def load_job(
-    spark: SparkSession, csv_path: str, movies: KeyedTable, rejects_path: str | None = None
-) -> None:
+def load_job(spark: SparkSession, csv_path: str, movies: KeyedTable, rejects_path: str | None = None) -> None:
     """Clean CSV into the film table; a later line of a file replaces an earlier one.
 
-    Header lines are left out. A line with too few fields fails the job, unless a place for
-    such lines is given.
+    Header lines are left out: those whose fields after the key are the column names. A line
+    with too few fields fails the job, unless a place for such lines is given; then rows and
+    rejects come from one pass over the files.
     """
-    lines = read_lines(spark, csv_path, header=CSV_HEADER)
-    if rejects_path is not None:
-        short_lines(lines).write.text(rejects_path)
-    rows = fields_to_wide(lines, strict=rejects_path is None)
-    movies.upsert(rows.withColumn(VERSION, F.monotonically_increasing_id()), VERSION)
+    lines = read_lines(spark, csv_path)
+    numbered = lines.withColumn(VERSION, F.monotonically_increasing_id())
+    with scratch_scope(spark):
+        if rejects_path is None:
+            rows = fields_to_wide(numbered, headers=False, keep=[VERSION])
+        else:
+            split = split_lines(numbered, keep=["value", VERSION])
+            kind = F.when(F.size("fields") < 1 + len(MOVIE_COLUMNS), "short").when(header_fields(F.col("fields")), "header")
+            told = _staged(split.withColumn("_kind", F.coalesce(kind, F.lit("row"))), "_kind")
+            told.filter("_kind = 'short'").select("value").write.text(rejects_path)
+            rows = named_fields(told.filter("_kind = 'row'"), keep=[VERSION])
+        movies.upsert(rows, VERSION)
+
+
+def _staged(rows: DataFrame, tag: str) -> DataFrame:
+    """Rows written once, in a folder for each value of a tag, and read again."""
+    path = scratch_path(rows.sparkSession, "tagged")
+    rows.write.partitionBy(tag).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def popularity_top10(
@@ -71,11 +103,12 @@ def popularity_top10(
 
 
 def popularity_job(spark: SparkSession, movies: KeyedTable, result: KeyedTable) -> None:
-    result.upsert(popularity_top10(movies.scan(spark)))
+    result.replace(popularity_top10(movies.scan(spark)))
 
 
 def runtime_job(spark: SparkSession, movies: KeyedTable, result: KeyedTable) -> None:
-    result.upsert(runtime_histogram(movies.scan(spark)).select("id", "runtime", "count"))
+    with scratch_scope(spark):
+        result.replace(runtime_histogram(movies.scan(spark)).select("id", "runtime", "count"))
 
 
 def genre_histogram(movies: DataFrame, column: str = "genres", name: str = "genre") -> DataFrame:
@@ -108,5 +141,5 @@ def score_job(
     model = fit_scores(train, features, SCORE_LABEL, keys=["id"])
     scores = score_fill(rows, model, features, SCORE_LABEL, [ROW_KEY, "id"])
     numbered = scores.withColumn("id", to_int("id")).filter(F.col("id").isNotNull())
-    result.upsert(numbered, version=ROW_KEY)
+    result.replace(latest_rows(numbered, "id", ROW_KEY))
     return fit_metrics(train, model, features, SCORE_LABEL, keys=["id"])

@@ -107,6 +107,38 @@ def _(spark, sf_dir):
     return weights.withColumn("weight", F.round("weight", 4))
 
 
+# Both standardised: correlations r1, r2 with the label and r12 of the features; l is each half
+# of the penalty over the label's spread. With both weights nonzero they solve a 2 x 2 system.
+@query(
+    "elastic_net_fit_two_features",
+    """
+    WITH rows AS (
+        SELECT CAST(l_quantity AS FLOAT)::DOUBLE AS a, CAST(l_discount AS FLOAT)::DOUBLE AS b,
+               CAST(l_extendedprice * (1 - l_discount) AS FLOAT)::DOUBLE AS y FROM lineitem),
+    seen AS (
+        SELECT corr(a, y) AS r1, corr(b, y) AS r2, corr(a, b) AS r12, 0.25 / stddev_pop(y) AS l,
+               avg(a) AS ma, avg(b) AS mb, avg(y) AS my, stddev_pop(a) AS sa, stddev_pop(b) AS sb,
+               stddev_pop(y) AS sy FROM rows),
+    solved AS (
+        SELECT *, ((r1 - sign(r1) * l) * (1 + l) - (r2 - sign(r2) * l) * r12) / ((1 + l) ** 2 - r12 ** 2) * sy / sa AS wa,
+               ((r2 - sign(r2) * l) * (1 + l) - (r1 - sign(r1) * l) * r12) / ((1 + l) ** 2 - r12 ** 2) * sy / sb AS wb
+        FROM seen)
+    SELECT unnest(['quantity', 'discount', 'intercept']) AS feature,
+           unnest([round(wa, -1), round(wb, -1), round(my - wa * ma - wb * mb, -1)]) AS weight FROM solved
+    """,
+)
+def _(spark, sf_dir):
+    price = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_quantity").cast("float").alias("quantity"),
+        F.col("l_discount").cast("float").alias("discount"),
+        price.cast("float").alias("paid"),
+    )
+    features = ["quantity", "discount"]
+    weights = coefficients(spark, fit_scores(rows, features, "paid"), features)
+    return weights.withColumn("weight", F.round("weight", -1))
+
+
 @query(
     "residuals",
     f"""SELECT l_orderkey, l_linenumber, y AS label, round(y * (1 - w) - b, 6) AS residual
@@ -176,10 +208,39 @@ def _(spark, sf_dir):
     return score_predict(rows, model, features, LABEL, LINE_KEYS)
 
 
-@query("model_params")
+SETTINGS = {
+    "aggregationDepth": "2",
+    "elasticNetParam": "0.5",
+    "epsilon": "1.35",
+    "featuresCol": "features",
+    "fitIntercept": "True",
+    "labelCol": LABEL,
+    "loss": "squaredError",
+    "maxBlockSizeInMB": "0.0",
+    "maxIter": "20",
+    "predictionCol": "prediction",
+    "regParam": "0.5",
+    "solver": "auto",
+    "standardization": "True",
+    "tol": "1e-06",
+}
+
+
+@query(
+    "model_params",
+    f"""SELECT * FROM (VALUES {", ".join(str(setting) for setting in SETTINGS.items())}) AS t(name, value)
+        UNION ALL SELECT 'rows', CAST(count(*) AS VARCHAR) FROM ({LINES_SQL}) WHERE y <> 0
+        UNION ALL SELECT 'weight of the label', printf('%.6f', round(w, 6)) FROM ({LEAK_SQL})
+        UNION ALL SELECT 'intercept', printf('%.6f', round(b, 6)) FROM ({LEAK_SQL})""",
+)
 def _(spark, sf_dir):
-    _, _, _, model = fit_lines(spark, sf_dir)
-    return model_params(spark, model)
+    """The settings, beside what the fit found in the data."""
+    _, train, features, model = fit_lines(spark, sf_dir)
+    found = coefficients(spark, model, features).filter(F.col("feature").isin(LABEL, "intercept"))
+    named = F.when(F.col("feature") == LABEL, "weight of the label").otherwise("intercept")
+    weights = found.select(named.alias("name"), F.format_string("%.6f", F.round("weight", 6)).alias("value"))
+    rows = train.agg(F.lit("rows").alias("name"), F.count(F.lit(1)).cast("string").alias("value"))
+    return model_params(spark, model).union(rows).union(weights)
 
 
 ORDER_SCORES_SQL = """

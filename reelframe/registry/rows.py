@@ -17,7 +17,6 @@ from reelframe.operators import (
     count_by,
     descending,
     drop_nulls,
-    exploded_counts,
     keyed_cross_join,
     label_split,
     nonblank_rows,
@@ -30,17 +29,16 @@ from reelframe.operators import (
     row_index,
     share_of_total,
     sort_desc,
-    top_counts,
     top_k,
     union_all,
     unique_id,
 )
-from reelframe.plans import genre_histogram
+from reelframe.plans import genre_histogram, keyword_top100
 from reelframe.registry.base import query, table
-from reelframe.schema import TOP_TITLES
+from reelframe.schema import MIN_GROUP_SIZE, TOP_TITLES
 
-# Running times stand-in: whole quantities as text; the threshold suits the sf0.01 tables.
-MIN_LINES = 1200
+# Running times stand-in: whole quantities as text, with the threshold of the real job.
+MIN_LINES = MIN_GROUP_SIZE
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,19 +366,21 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", text.alias("json"))
 
 
+def json_field(names: Column) -> Column:
+    """Names as a film's JSON list, quoted as in the CSV file."""
+    listed = F.transform(
+        names, lambda name, i: F.struct(i.cast("bigint").alias("id"), name.alias("name"))
+    )
+    return F.concat(F.lit('"'), F.replace(F.to_json(listed), F.lit('"'), F.lit('""')), F.lit('"'))
+
+
 @query(
     "genre_histogram",
     """SELECT name, count(*) AS count
        FROM (SELECT unnest(string_split(p_name, ' ')) AS name FROM part) GROUP BY name""",
 )
 def _(spark, sf_dir):
-    words = F.transform(
-        F.split("p_name", " "),
-        lambda word, i: F.struct(i.cast("bigint").alias("id"), word.alias("name")),
-    )
-    json = F.replace(F.to_json(words), F.lit('"'), F.lit('""'))
-    field = F.concat(F.lit('"'), json, F.lit('"'))
-    parts = table(spark, sf_dir, "part").select(field.alias("genres"))
+    parts = table(spark, sf_dir, "part").select(json_field(F.split("p_name", " ")).alias("genres"))
     return genre_histogram(parts, "genres", "name")
 
 
@@ -395,9 +395,10 @@ def _(spark, sf_dir):
     """,
 )
 def _(spark, sf_dir):
-    words = F.split(F.lower("text"), r"\s+")
-    counts = exploded_counts(table(spark, sf_dir, "documents"), words, "keyword")
-    return top_counts(nonblank_rows(counts, "keyword"), "keyword").select("id", "keyword", "count")
+    """The words of a document as a film's keywords."""
+    words = F.filter(F.split(F.lower("text"), r"\s+"), lambda word: word != "")
+    films = table(spark, sf_dir, "documents").select(json_field(words).alias("keywords"))
+    return keyword_top100(films).select("id", "keyword", "count")
 
 
 @query(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -18,15 +21,25 @@ DEFAULTS = {
 
 MEBIBYTE = 2**20
 SHUFFLE_PART = 256 * MEBIBYTE
-MOST_SHUFFLE_PARTS = 50_000
+#: Shuffle partitions to start from where the caller names no number; small ones are merged.
+FIRST_PARTS = 4096
 
 _prepared: set[str] = set()
+_scopes: list[list[str]] = []
+_own_folders: dict[str, str] = {}
 
 
 def build_session(app_name: str = "reelframe", **conf: str) -> SparkSession:
-    """A session with this library's defaults; the master is left to spark-submit."""
+    """A session with this library's defaults; the master is left to spark-submit.
+
+    Adaptive execution merges small shuffle partitions but does not split large ones. So,
+    unless the caller sets a number, shuffles start from many partitions and are merged down.
+    """
+    settings = {**DEFAULTS, **conf}
+    if "spark.sql.shuffle.partitions" not in settings:
+        settings.setdefault("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(FIRST_PARTS))
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**DEFAULTS, **conf}.items():
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -34,11 +47,9 @@ def build_session(app_name: str = "reelframe", **conf: str) -> SparkSession:
 def sized_for(shuffled_bytes: int) -> dict[str, str]:
     """Settings for the largest shuffle a job makes, to be passed to ``build_session``.
 
-    Adaptive execution merges small shuffle partitions but does not split large ones, so
-    their number has to suit the data: parts that fit in memory while they are sorted, but
-    not so many that keeping track of them is the bottleneck. Beyond that, sorts spill.
+    Parts of one size, however large the shuffle: they fit in memory while they are sorted.
     """
-    parts = min(max(-(-shuffled_bytes // SHUFFLE_PART), 200), MOST_SHUFFLE_PARTS)
+    parts = max(-(-shuffled_bytes // SHUFFLE_PART), 200)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PART),
@@ -49,15 +60,19 @@ def sized_for(shuffled_bytes: int) -> dict[str, str]:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Every executor must be able to read what another one wrote there, so a machine-local
-    folder is used only with a local master, as in tests.
+    Every executor must be able to read what another one wrote there. Where it is not set, a
+    session whose executors are threads of the driver, as in tests, gets a folder of its own;
+    any other master is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.gettempdir()
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="reelframe-")
+    return _own_folders[application]
 
 
 def _locate(spark: SparkSession, path: str):
@@ -66,11 +81,43 @@ def _locate(spark: SparkSession, path: str):
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if there is no such folder."""
+    files, location = _locate(spark, path)
+    if not files.exists(location):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(location))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    files, location = _locate(spark, path)
+    stream = files.open(location)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file that appears whole or not at all; fails if it exists."""
+    files, location = _locate(spark, path)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    stream = files.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if files.exists(location) or not files.rename(draft, location):
+        files.delete(draft, False)
+        raise FileExistsError(path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path in this application's part of the shared folder.
 
     Tables written there are read lazily by the frames built on them, so they are kept until
-    the driver ends and removed then.
+    the innermost ``scratch_scope`` ends, or else until the driver does.
     """
     folder = f"{shared_folder(spark)}/reelframe-{spark.sparkContext.applicationId}"
     if folder not in _prepared:
@@ -78,7 +125,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         files.mkdirs(location)
         files.deleteOnExit(location)
         _prepared.add(folder)
-    return f"{folder}/{label}-{uuid.uuid4().hex}"
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, every scratch table made inside.
+
+    For long sessions: frames built on such tables must be used or written before.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            drop_scratch(spark, path)
 
 
 def drop_scratch(spark: SparkSession, path: str) -> None:

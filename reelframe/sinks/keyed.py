@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reelframe.operators.cells import latest_rows
 from reelframe.schema import ROW_KEY
-from reelframe.session import drop_scratch, scratch_path
+from reelframe.session import drop_scratch, list_names, publish_text, read_text, scratch_path
 
 
 def bulk_replace_sorted(rows: DataFrame, path: str, keys: tuple[str, ...] = (ROW_KEY,)) -> None:
@@ -31,9 +32,14 @@ def bulk_replace_sorted(rows: DataFrame, path: str, keys: tuple[str, ...] = (ROW
 class KeyedTable:
     """One row per key, in folders by hash of the key, sorted by key within each file.
 
-    ``buckets`` is fixed for the life of the table; it is part of the folder names, so
-    another number is refused. An upsert rewrites only folders that hold a changed key.
-    Choose it so that one folder is a fair unit of rewriting: at 100 TB, some ten thousand.
+    Every write makes a new generation of the folders it changes and then publishes a manifest,
+    one small file that says which folders are the table. So readers and a driver lost at any
+    moment see the table as it was before or after, never a mix. Folders that neither the
+    current manifest nor the one before names are removed after publishing.
+
+    ``buckets`` is fixed for the life of the table; another number is refused. An upsert
+    rewrites only folders that hold a changed key. Choose it so that one folder is a fair unit
+    of rewriting: at 100 TB, some ten thousand.
     """
 
     path: str
@@ -47,89 +53,135 @@ class KeyedTable:
     def _place(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
-    def _stored(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            stored = spark.read.parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
-        if self.bucket not in stored.columns:
+    def _versions(self, spark: SparkSession) -> list[int]:
+        names = list_names(spark, f"{self.path}/_manifests")
+        return sorted(int(name.removesuffix(".json")) for name in names if name.endswith(".json"))
+
+    def _manifest(self, spark: SparkSession, version: int | None = None) -> dict | None:
+        """What is published: number, schema, and the folder of each bucket that has rows."""
+        if version is None:
+            version = max(self._versions(spark), default=None)
+        if version is None:
+            return None
+        manifest = json.loads(read_text(spark, f"{self.path}/_manifests/{version}.json"))
+        if manifest["buckets"] != self.buckets:
             raise ValueError(f"{self.path} was not written with {self.buckets} buckets")
-        return stored
+        return manifest | {"version": version}
+
+    def folders(self, spark: SparkSession) -> list[str]:
+        """The folders that are the table now."""
+        manifest = self._manifest(spark)
+        return [f"{self.path}/{name}" for name in manifest["folders"].values()] if manifest else []
+
+    def _rows(self, spark: SparkSession, manifest: dict, buckets: list[int] | None = None) -> DataFrame:
+        """Rows of some or all buckets, without the bucket number."""
+        schema = StructType.fromJson(manifest["schema"])
+        wanted = manifest["folders"] if buckets is None else {str(b) for b in buckets}
+        paths = [f"{self.path}/{name}" for b, name in manifest["folders"].items() if b in wanted]
+        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
     def scan(self, spark: SparkSession, ordered: bool = False) -> DataFrame:
-        stored = self._stored(spark)
-        if stored is None:
+        manifest = self._manifest(spark)
+        if manifest is None:
             raise FileNotFoundError(self.path)
-        rows = stored.drop(self.bucket)
+        rows = self._rows(spark, manifest)
         return rows.orderBy(self.key) if ordered else rows
 
     def lookup(self, spark: SparkSession, start, stop) -> DataFrame:
         """Rows with ``start <= key < stop``; files are sorted, so few row groups are read."""
         return self.scan(spark).filter((F.col(self.key) >= start) & (F.col(self.key) < stop))
 
+    def replace(self, rows: DataFrame) -> None:
+        """Make these rows the whole table; keys that it lacks are gone, nulls are nulls.
+
+        Each key occurs once, or the write fails and the table stays as it was. ``rows`` is
+        evaluated once.
+        """
+        spark = rows.sparkSession
+        self._publish(spark, self._manifest(spark), rows, keep=False, checked=False)
+
     def upsert(self, changes: DataFrame, version: str | None = None) -> None:
         """Write changes cell by cell; the last write wins.
 
         ``version`` names the column that orders changes of one key; without it each key
-        occurs once.
+        occurs once, or the write fails and the table stays as it was.
 
         A null is a cell that is not written: it keeps its old value, as do columns that
         ``changes`` lacks. A new column makes all folders be rewritten, so that all files keep
         one schema. Changes of one key are first reduced to one row, before the shuffle, so a
         key with very many changes is not gathered in one task. Folders without a changed key
-        are neither read nor written. ``changes`` is evaluated once. The folders are replaced
-        when the whole job has succeeded, so a lost executor leaves the old ones in place.
+        are neither read nor written. ``changes`` is evaluated once.
         """
         spark = changes.sparkSession
         latest = latest_rows(changes, self.key, version) if version else changes
-        placed = latest.withColumn(self.bucket, self._place())
-        stored = self._stored(spark)
-        if stored is None and version:
-            # The reduced changes lie in shuffle files, which the range sort can read twice.
-            self._write(placed.repartitionByRange(self.bucket, self.key))
+        manifest = self._manifest(spark)
+        if manifest is None:
+            self._publish(spark, None, latest, keep=False, checked=version is not None)
             return
         staged_path = scratch_path(spark, "upsert")
+        placed = latest.withColumn(self.bucket, self._place())
         placed.write.parquet(staged_path)
         staged = spark.read.schema(placed.schema).parquet(staged_path)
-        if stored is None:
-            self._write(staged.repartitionByRange(self.bucket, self.key))
-        else:
-            self._check_types(stored, staged)
-            # At most ``buckets`` numbers; as literals they prune folders when a scan is planned.
-            touched = [row[0] for row in staged.select(self.bucket).distinct().collect()]
-            if touched:
-                widened = set(staged.columns) - set(stored.columns)
-                old = stored if widened else stored.filter(F.col(self.bucket).isin(touched))
-                self._write(self._merge(old, staged))
+        self._check_types(manifest, staged)
+        # At most ``buckets`` numbers; they choose the folders to read.
+        touched = [row[0] for row in staged.select(self.bucket).distinct().collect()]
+        if touched:
+            widened = set(staged.columns) - {self.bucket, *StructType.fromJson(manifest["schema"]).names}
+            old = self._rows(spark, manifest, None if widened else touched)
+            merged = self._merge(old.withColumn(self.bucket, self._place()), staged)
+            self._publish(spark, manifest, merged.drop(self.bucket), keep=not widened, checked=True)
         drop_scratch(spark, staged_path)
 
-    def _write(self, rows: DataFrame) -> None:
-        """Replace the folders that occur in ``rows``, which are ranges of folder and key."""
-        (
-            rows.sortWithinPartitions(self.bucket, self.key)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.bucket)
-            .parquet(self.path)
-        )
-
-    def _check_types(self, stored: DataFrame, staged: DataFrame) -> None:
-        types = dict(stored.dtypes)
-        differing = [c for c, t in staged.dtypes if types.get(c, t) != t]
+    def _publish(self, spark: SparkSession, manifest: dict | None, rows: DataFrame, keep: bool, checked: bool) -> None:
+        """Write a generation, make sure of its keys, and put it in force by one rename."""
+        number = 1 + (manifest["version"] if manifest else 0)
+        generation = f"generation-{number}"
+        drop_scratch(spark, f"{self.path}/{generation}")  # of a writer that was lost before publishing
+        # Rebalancing splits large buckets over tasks and needs no second look at the rows.
+        placed = rows.withColumn(self.bucket, self._place()).hint("rebalance", F.col(self.bucket))
+        placed = placed.sortWithinPartitions(self.bucket, self.key)
+        placed.write.partitionBy(self.bucket).parquet(f"{self.path}/{generation}")
+        names = [name for name in list_names(spark, f"{self.path}/{generation}") if "=" in name]
+        folders = {name.split("=")[1]: f"{generation}/{name}" for name in names}
+        draft = {"buckets": self.buckets, "schema": rows.schema.jsonValue(), "folders": folders}
+        if not checked:
+            twice = self._rows(spark, draft).groupBy(self.key).count().filter("count > 1").take(1)
+            if twice:
+                drop_scratch(spark, f"{self.path}/{generation}")
+                raise ValueError(f"key {twice[0][0]!r} occurs more than once in the rows for {self.path}")
+        if keep:
+            draft["folders"] = {**manifest["folders"], **folders}
+        publish_text(spark, f"{self.path}/_manifests/{number}.json", json.dumps(draft))
+        self._clean(spark, draft, manifest)
+
+    def _clean(self, spark: SparkSession, *manifests: dict | None) -> None:
+        """Remove what neither the current manifest nor the one before names."""
+        named = {name for manifest in manifests if manifest for name in manifest["folders"].values()}
+        kept = {name.split("/")[0] for name in named}
+        for old in self._versions(spark)[:-2]:
+            before = json.loads(read_text(spark, f"{self.path}/_manifests/{old}.json"))
+            for name in set(before["folders"].values()) - named:
+                whole = name.split("/")[0]
+                drop_scratch(spark, f"{self.path}/{name if whole in kept else whole}")
+            drop_scratch(spark, f"{self.path}/_manifests/{old}.json")
+
+    def _check_types(self, manifest: dict, staged: DataFrame) -> None:
+        types = {f.name: f.dataType for f in StructType.fromJson(manifest["schema"]).fields}
+        differing = [f.name for f in staged.schema.fields if types.get(f.name, f.dataType) != f.dataType]
         if differing:
             raise ValueError(f"types differ from those of {self.path}: {differing}")
 
     def _merge(self, stored: DataFrame, staged: DataFrame) -> DataFrame:
-        """At most two rows per key, brought together by the range shuffle the files need anyway."""
+        """At most two rows per key, an old and a new one; more than one new row is refused."""
         rank = "_written"
         both = stored.withColumn(rank, F.lit(0)).unionByName(
             staged.withColumn(rank, F.lit(1)), allowMissingColumns=True
         )
         columns = [c for c in both.columns if c not in (self.bucket, self.key, rank)]
-        return (
-            both.repartitionByRange(self.bucket, self.key)
-            .groupBy(self.bucket, self.key)
-            .agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(rank))).alias(c) for c in columns])
+        message = F.concat(F.lit("key occurs more than once: "), F.col(self.key).cast("string"))
+        merged = both.groupBy(self.bucket, self.key).agg(
+            F.sum(rank).alias(rank),
+            *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(rank))).alias(c) for c in columns],
         )
+        once = F.when(F.col(rank) > 1, F.raise_error(message)).otherwise(F.col(self.key))
+        return merged.select(self.bucket, once.alias(self.key), *columns)

@@ -23,18 +23,16 @@ def stream_files(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def count_events(events: DataFrame, time: str, kind: str, lateness: str = "1 day") -> DataFrame:
-    """Events per UTC day and type; rows later than ``lateness`` are no longer counted.
+def count_events(events: DataFrame, time: str, kind: str, lateness: str | None = None) -> DataFrame:
+    """Events per UTC day and type, however the input is split into micro-batches.
 
-    Rows are counted per task before the shuffle, so a frequent type is no hot spot, and
-    the state is one number per open day and type.
+    Rows are counted per task before the shuffle, so a frequent type is no hot spot, and the
+    state is one number per day and type. ``lateness`` is for streams that never end: days
+    that old, by the newest time seen, are closed, and rows for them are no longer counted.
     """
     timed = events.select(utc_timestamp(time).alias("_at"), kind)
-    counts = (
-        timed.withWatermark("_at", lateness)
-        .groupBy(F.window("_at", "1 day"), kind)
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
+    open_days = timed.withWatermark("_at", lateness) if lateness else timed
+    counts = open_days.groupBy(F.window("_at", "1 day"), kind).agg(F.count(F.lit(1)).alias("count"))
     day = F.date_from_unix_date((F.unix_seconds("window.start") / SECONDS_PER_DAY).cast("int"))
     return counts.select(day.alias("day"), kind, "count")
 

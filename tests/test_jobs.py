@@ -44,7 +44,7 @@ def raw_line(i, **values):
 @pytest.fixture(scope="module")
 def movies(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("jobs")
-    lines = [",".join(["", *MOVIE_COLUMNS, "", ""])]
+    lines = [",".join(["", *MOVIE_COLUMNS, "", ""]), ",".join(["key", *(f" {c} " for c in MOVIE_COLUMNS), "", ""])]
     lines += [raw_line(i) for i in range(1, 301)]
     lines.append(raw_line(301, vote_count=""))
     lines.append(raw_line(302, original_title="cut").rsplit(",", 5)[0])
@@ -57,8 +57,9 @@ def movies(spark, tmp_path_factory):
 
 
 def test_load_keeps_full_rows_and_the_later_of_two(spark, movies):
-    rows = {r.row_key: r for r in movies.scan(spark).collect() if r.row_key}
+    rows = {r.row_key: r for r in movies.scan(spark).collect()}
     assert len(rows) == 300
+    assert movies.scan(spark).count() == 300
     assert rows["300"].popularity == "999.5"
     assert rows["7"].original_title == '"Film 7: the ""café"", part"'
 
@@ -86,7 +87,7 @@ def test_runtime(spark, movies, tmp_path):
 
 
 def test_genres_and_keywords(spark, movies):
-    films = movies.scan(spark).filter("row_key <> ''")
+    films = movies.scan(spark)
     genres = {r.genre: r["count"] for r in genre_histogram(films).collect()}
     assert genres == {"Drama": 300, "Music, live": 150}
     words = [(r.id, r.keyword, r["count"]) for r in keyword_top100(films).orderBy("id").collect()]
@@ -123,3 +124,36 @@ def test_demo_rows(spark):
     rows = inline_rows(spark).collect()
     assert [r.nums for r in rows] == [20, 36, 10, 10, 20]
     assert rows[0].productName == "羊毛衫"
+
+
+def test_torn_records_fail_the_scrub_or_are_reported(spark, tmp_path):
+    torn = raw_line(2, original_title='"one\nrecord"')
+    (tmp_path / "raw.csv").write_bytes("\n".join([raw_line(1), torn, raw_line(3)]).encode("latin-1"))
+    with pytest.raises(Exception, match="odd number of quotes"):
+        scrub_job(spark, str(tmp_path / "raw.csv"), str(tmp_path / "clean"))
+    scrub_job(spark, str(tmp_path / "raw.csv"), str(tmp_path / "ok"), str(tmp_path / "rejects"))
+    table = KeyedTable(str(tmp_path / "t"))
+    load_job(spark, str(tmp_path / "ok"), table)
+    assert sorted(r.row_key for r in table.scan(spark).collect()) == ["1", "3"]
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "rejects")).collect()) == sorted(torn.split("\n"))
+
+
+def test_rerun_leaves_nothing_of_the_run_before(spark, tmp_path):
+    def films(name, *rows):
+        table = KeyedTable(str(tmp_path / name))
+        full = [(str(i), *[values.get(c) for c in MOVIE_COLUMNS]) for i, values in enumerate(rows)]
+        schema = ", ".join(f"{c} string" for c in ["row_key", *MOVIE_COLUMNS])
+        table.replace(spark.createDataFrame(full, schema))
+        return table
+
+    top = KeyedTable(str(tmp_path / "top"), key="id", buckets=1)
+    first = [{"original_title": "X", "popularity": "9"}, {"original_title": "Y", "popularity": "4"}]
+    popularity_job(spark, films("a", *first), top)
+    second = [{"original_title": "X", "popularity": "9"}, {"original_title": "Z"}]
+    popularity_job(spark, films("b", *second), top)
+    assert [tuple(r) for r in top.scan(spark, ordered=True).collect()] == [(0, "X", 9.0), (1, "Z", None)]
+
+    histogram = KeyedTable(str(tmp_path / "h"), key="id", buckets=1)
+    runtime_job(spark, films("c", *[{"runtime": t} for t in ["80"] * 110 + ["90"] * 100]), histogram)
+    runtime_job(spark, films("d", *[{"runtime": "90"}] * 100), histogram)
+    assert [tuple(r) for r in histogram.scan(spark).collect()] == [(0, "90", 100)]

@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from plans import physical_plan
 from pyspark.sql import functions as F
 
@@ -70,12 +71,10 @@ def test_top_k_never_sorts_everything(spark, small_tables):
     assert "rangepartitioning" not in plan
 
 
-def test_fixed_slots_pads_and_cuts(spark):
+def test_fixed_slots_pads(spark):
     few = spark.createDataFrame([(0, "a", 5)], "id bigint, productName string, nums bigint")
     got = [tuple(r) for r in fixed_slots(few, 3).orderBy("id").collect()]
     assert got == [(0, "a", 5), (1, None, 0), (2, None, 0)]
-    many = spark.range(5).select("id", F.lit("x").alias("productName"), F.lit(1).alias("nums"))
-    assert fixed_slots(many, 2).count() == 2
 
 
 def test_zip_pairs_by_position_not_by_key(spark):
@@ -97,3 +96,10 @@ def test_keyed_cross_join_keeps_one_row_per_key(spark):
 def test_unique_id(spark):
     ids = [r.n for r in unique_id(spark.range(100).repartition(5), "n").collect()]
     assert len(set(ids)) == 100
+
+
+def test_slots_that_are_too_few_fail(spark):
+    rows = spark.createDataFrame([(0, "a", 1), (3, "b", 2)], "id bigint, productName string, nums bigint")
+    assert [tuple(r) for r in fixed_slots(rows, 4).orderBy("id").collect()][3] == (3, "b", 2)
+    with pytest.raises(Exception, match="3 slots are too few for index 3"):
+        fixed_slots(rows, 3).collect()

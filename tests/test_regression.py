@@ -12,7 +12,6 @@ from reelframe.operators import (
     label_split,
     model_inputs,
     model_params,
-    moments,
     residuals,
     round_project,
     score_fill,
@@ -79,23 +78,6 @@ def test_fit_equals_a_fit_to_all_rows(frame, penalty, mix):
     assert own == pytest.approx(theirs, abs=1e-5)
 
 
-def test_fit_reads_the_rows_once(frame):
-    plan = physical_plan(moments(frame.na.drop(), [*FEATURES, "y"]))
-    assert plan.count("Exchange") == 1
-    assert plan.count("partial_sum") == 4 + 10
-
-
-def test_moments_keep_digits_of_large_means(spark):
-    rows = spark.range(1000).selectExpr("1e9 + id % 10 AS x", "id % 3 AS y")
-    x, y = np.arange(1000) % 10, np.arange(1000) % 3
-    row = moments(rows, ["x", "y"]).first()
-    assert row["count"] == 1000
-    assert row.avg_x == pytest.approx(1e9 + x.mean(), abs=1e-6)
-    assert row.cov_x_x == pytest.approx(x.var(), rel=1e-12)
-    assert row.cov_x_y == pytest.approx(np.cov(x, y, ddof=0)[0, 1], rel=1e-9)
-    assert moments(rows.filter("x < 0"), ["x", "y"]) is None
-
-
 def test_many_features_give_the_same_fit(spark, frame):
     extra = [f"f{i}" for i in range(12)]
     wide = frame.selectExpr("*", *[f"cast(hash(id, {i}) % 100 as float) {n}" for i, n in enumerate(extra)])

@@ -17,7 +17,9 @@ from reelframe.functions import (
     to_int,
     unquote_field,
 )
-from reelframe.functions.scalar import FIELD_SEPARATOR
+
+# The definition: a comma followed by an even number of quotes, up to the end of the line.
+FIELD_SEPARATOR = r',(?=([^"]*"[^"]*")*[^"]*$)'
 
 
 def values(spark, data, type_, expression):

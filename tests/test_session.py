@@ -2,7 +2,10 @@ import os
 
 import pytest
 
-from reelframe import scratch_path, session, sized_for
+from pyspark.sql import functions as F
+
+from reelframe import scratch_path, scratch_scope, session, sized_for
+from reelframe.operators import row_index
 from reelframe.session import drop_scratch
 
 
@@ -32,6 +35,8 @@ def test_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(FakeSession(None, "yarn"))
     assert session.shared_folder(FakeSession("hdfs://shared/x/", "yarn")) == "hdfs://shared/x"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(FakeSession(None, "local-cluster[2,1,1024]"))
     local = FakeSession(None, "local[2]")
     assert session.shared_folder(local) == session.shared_folder(local)
 
@@ -50,4 +55,39 @@ def test_shuffle_parts_follow_the_data():
 
     assert parts(10**6) == 200
     assert parts(2**40) == 4096
-    assert parts(100 * 10**12) == 50_000
+    assert parts(100 * 10**12) == -(-(100 * 10**12) // 2**28)
+
+
+def test_scratch_is_empty_after_its_scope(spark):
+    rows = spark.range(20).withColumn("x", F.col("id") % 3)
+    with scratch_scope(spark):
+        kept = scratch_path(spark, "inside")
+        found = [tuple(r) for r in row_index(rows, [F.col("x"), F.col("id")], "n").orderBy("n").collect()]
+        assert len(found) == 20 and os.path.dirname(kept)
+        made = set(os.listdir(os.path.dirname(kept)))
+        assert any(name.startswith("row-index") for name in made)
+    left = set(os.listdir(os.path.dirname(kept)))
+    assert not any(name in left for name in made if name.startswith("row-index"))
+
+
+class Builder:
+    def __init__(self):
+        self.seen = {}
+
+    def appName(self, name):
+        return self
+
+    def config(self, key, value):
+        self.seen[key] = value
+        return self
+
+    def getOrCreate(self):
+        return self.seen
+
+
+def test_shuffles_start_from_many_parts_unless_told(monkeypatch):
+    monkeypatch.setattr(session.SparkSession, "builder", Builder())
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert session.build_session()[first] == "4096"
+    monkeypatch.setattr(session.SparkSession, "builder", Builder())
+    assert first not in session.build_session(**{"spark.sql.shuffle.partitions": "8"})

@@ -22,8 +22,8 @@ def write_events(spark, path, name, events):
     frame.coalesce(1).write.parquet(f"{path}/{name}")
 
 
-def run(spark, source, out, progress):
-    counts = count_events(stream_files(spark, f"{source}/*"), "at", "kind")
+def run(spark, source, out, progress, lateness=None, files=1000):
+    counts = count_events(stream_files(spark, f"{source}/*", files), "at", "kind", lateness)
     table = KeyedTable(out, buckets=3)
     write_counts(counts, table, progress).awaitTermination()
     rows = table.scan(spark).collect()
@@ -42,19 +42,38 @@ def test_counts_grow_over_restarts_and_late_rows_drop(spark, zone, tmp_path):
             ("2024-03-11T00:00:00", "y"),
         ],
     )
-    first = run(spark, source, out, progress)
+    def again():
+        return run(spark, source, out, progress, "1 day")
+
+    first = again()
     assert first == {("2024-03-10", "x"): 2, ("2024-03-11", "y"): 1}
-    assert run(spark, source, out, progress) == first
+    assert again() == first
 
     write_events(spark, source, "b", [("2024-03-11T12:00:00", "y"), ("2024-03-20T00:00:00", "x")])
-    second = run(spark, source, out, progress)
+    second = again()
     assert second == first | {("2024-03-11", "y"): 2, ("2024-03-20", "x"): 1}
 
     write_events(spark, source, "c", [("2024-03-10T05:00:00", "x"), ("2024-03-20T01:00:00", "x")])
-    third = run(spark, source, out, progress)
+    third = again()
     assert third == second | {("2024-03-20", "x"): 2}
 
 
+@pytest.mark.parametrize("files", [1, 2, 1000])
+def test_totals_do_not_depend_on_micro_batches(spark, tmp_path, files):
+    source = str(tmp_path / "in")
+    for i in (5, 0, 7, 2, 6, 1, 4, 3):
+        events = [(f"2024-0{1 + (3 * i + j) % 8}-01T00:00:00", "xy"[j % 2]) for j in range(5)]
+        write_events(spark, source, f"part{i}", events)
+    got = run(spark, source, str(tmp_path / "out"), str(tmp_path / "progress"), files=files)
+    assert sum(got.values()) == 40
+    expected = {}
+    for i in range(8):
+        for j in range(5):
+            key = (f"2024-0{1 + (3 * i + j) % 8}-01", "xy"[j % 2])
+            expected[key] = expected.get(key, 0) + 1
+    assert got == expected
+
+
 def test_paced_stream_picks_up_new_files(spark, tmp_path):
     source, out, progress = (str(tmp_path / p) for p in ("in", "out", "progress"))
     write_events(spark, source, "a", [("2024-01-01T00:00:00", "x")])
