@@ -132,10 +132,11 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     spark = docs.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    cuts = np.unique(ids.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges))
+    shares = [i / ranges for i in range(1, ranges)] or [0.5]
+    cuts = np.unique(ids.agg(F.percentile_approx("doc_id", shares, 10 * ranges)).first()[0] or [])
 
     def ranges_of(values: list) -> list[int]:
-        return [0 if v is None else int(np.searchsorted(cuts, float(v), side="right")) for v in values]
+        return [0 if v is None else int(np.searchsorted(cuts, v, side="right")) for v in values]
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:

@@ -1,0 +1,122 @@
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from cases import FILL, SCHEMA, sentence
+from pyspark.sql import functions as F
+
+from reelframe.llm import linking, neardup
+from reelframe.llm.queries import LLM_QUERIES
+from reelframe.llm.shingles import circulant
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def brute(sets, percent=85):
+    """Component of each id by comparing every two sets that share an element."""
+    holders = defaultdict(list)
+    for i, found in sets.items():
+        for e in found:
+            holders[e].append(i)
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i] = parent[parent[i]]
+        return i
+
+    for i, found in sets.items():
+        for j, shared in Counter(j for e in found for j in holders[e] if j < i).items():
+            if 100 * shared >= percent * (len(found) + len(sets[j]) - shared):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return {i: root(i) for i in sets}
+
+
+def test_query_equals_brute_force(spark, small_tables, documents):
+    sets = {r.doc_id: shingles(r.text) for r in documents.collect()}
+    wanted = brute(sets)
+    rows = LLM_QUERIES["op6_near_duplicates"](spark, small_tables).collect()
+    assert len(rows) == len(sets)
+    for row in rows:
+        assert (row.n_shingles, row.component_id) == (len(sets[row.doc_id]), wanted[row.doc_id])
+        assert row.kept == (row.doc_id == row.component_id)
+
+
+def edited(words, places):
+    return " ".join(f"edit{p}" if i in places else w for i, (w, p) in enumerate(zip(words, range(len(words)), strict=True)))
+
+
+def test_a_group_whose_pairs_lie_around_the_threshold(spark):
+    """200 copies with up to eight edits each, so that about half of the pairs are links."""
+    rng = np.random.default_rng(4)
+    words = sentence(5, 240).split()
+    rows = []
+    for i in range(200):
+        places = set(rng.choice(240, rng.integers(0, 9), replace=False).tolist())
+        rows.append((i, edited(words, places).replace("edit", f"edit{i}x")))
+    passage = sentence(6, 150)
+    rows += [(1000 + i, f"{passage} {sentence(700 + i, 60)}") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    wanted = brute({i: shingles(text) for i, text in rows})
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()}
+    assert got == wanted
+    assert len(set(wanted.values())) > 150
+
+
+def test_prefix_filter_loses_no_pair(spark):
+    rng = np.random.default_rng(8)
+    sets = {}
+    for i in range(120):
+        base = set(range(40)) if i % 2 else set(range(100, 140))
+        swapped = rng.choice(sorted(base), rng.integers(0, 8), replace=False)
+        sets[i] = frozenset((base - set(swapped)) | {1000 * (i + 1) + int(s) for s in swapped})
+    frame = spark.createDataFrame([(i, len(s), sorted(s)) for i, s in sets.items()], "id long, n int, h array<long>")
+    rest = frame.select("id", F.col("id").alias("component"))
+    found = {(min(r.a, r.b), max(r.a, r.b)) for r in linking.verified(linking.by_prefix(rest, frame, 85), frame, 85).collect()}
+    wanted = {
+        (i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])
+    }
+    assert found == wanted and wanted
+
+
+def test_components_of_a_long_chain(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
+    got = {r.id: r.component for r in linking.components(chain).collect()}
+    assert got == {**{i: 0 for i in range(1, 61)}, 101: 100}
+    assert linking.components(chain.limit(0)).collect() == []
+
+
+def test_circulant_coordinates_estimate_similarity():
+    rng = np.random.default_rng(1)
+    shared = rng.integers(0, 2**63, 800).astype(np.uint64)
+    a = np.concatenate([shared, rng.integers(0, 2**63, 100).astype(np.uint64)])
+    b = np.concatenate([shared, rng.integers(0, 2**63, 100).astype(np.uint64)])
+    assert (circulant(a, 1000) == circulant(b, 1000)).mean() == pytest.approx(0.8, abs=0.04)
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    rows = neardup.near_duplicates(odd_docs).collect()
+    assert len(rows) == odd_docs.count()
+    by_id = defaultdict(list)
+    for r in rows:
+        by_id[r.doc_id].append(r)
+    assert [(r.component_id, r.kept) for r in by_id[1]] == [(1, True)] * 2
+    assert (by_id[9][0].component_id, by_id[9][0].kept) == (1, False)
+    for i in (2, 3, 4):
+        assert (by_id[i][0].n_shingles, by_id[i][0].component_id, by_id[i][0].kept) == (0, i, True)
+    assert [(r.component_id, r.kept) for r in by_id[None]] == [(None, True)] * 2
+    left = neardup.deduplicated(odd_docs)
+    assert left.columns == odd_docs.columns
+    assert sorted((r.doc_id or 0) for r in left.collect()) == [0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10]
+    assert neardup.near_duplicates(no_docs).collect() == []
+    assert neardup.deduplicated(no_docs).collect() == []
+
+
+def test_rows_of_one_id_count_as_one_document(spark):
+    rows = [(1, sentence(1, 90), *FILL), (1, sentence(2, 90), *FILL), (2, sentence(1, 90), *FILL), (3, sentence(2, 90), *FILL)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1)}

@@ -1,0 +1,56 @@
+import hashlib
+
+import corpus_pipeline
+from cases import FILL, SCHEMA, sentence
+from test_decontamination import brute as leaks
+from test_neardup import brute as groups
+from test_neardup import shingles
+from test_pii import base_of
+
+import __spark_entry__ as entry_module
+
+
+def test_each_stage_against_brute_force(spark, small_tables, documents, tmp_path):
+    docs, seen = documents, {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, small_tables).write.parquet(str(tmp_path / name))
+        before, docs = docs, spark.read.parquet(str(tmp_path / name))
+        seen[name] = (before.collect(), docs.collect())
+        if name != "tokenize":
+            assert docs.columns == documents.columns
+    before, after = seen["language"]
+    assert {r.doc_id for r in before} == {r.doc_id for r in after}
+    before, after = seen["near_duplicates"]
+    wanted = groups({r.doc_id: shingles(r.text) for r in before})
+    assert {r.doc_id for r in after} == set(wanted.values()) and len(after) < len(before)
+    before, after = seen["decontaminate"]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{small_tables}/benchmark.parquet").collect()]
+    held = {doc for doc, _ in leaks([(r.doc_id, r.text) for r in before], items)}
+    assert {r.doc_id for r in after} == {r.doc_id for r in before} - held
+    before, after = seen["redact"]
+    texts = {r.doc_id: r.text for r in before}
+    assert {r.doc_id for r in after} == set(texts)
+    for r in after:
+        assert base_of(r.text) == [] and r.n_chars == len(r.text)
+        assert bool(base_of(texts[r.doc_id])) <= (r.text != texts[r.doc_id])
+    before, after = seen["tokenize"]
+    texts = {r.doc_id: r.text for r in before}
+    assert {r.doc_id: r.decoded_sha256 for r in after} == {
+        doc: hashlib.sha256(text.encode()).hexdigest() for doc, text in texts.items()
+    }
+    assert all(r.n_tokens == len(r.ids) for r in after)
+
+
+def test_odd_rows_go_through_all_stages(spark, odd_docs, no_docs, small_tables, tmp_path):
+    for name, docs in (("odd", odd_docs), ("none", no_docs), ("null", spark.createDataFrame([(1, None, *[None] * len(FILL))], SCHEMA))):
+        for step, stage in corpus_pipeline.STAGES:
+            stage(spark, docs, small_tables).write.parquet(str(tmp_path / name / step))
+            docs = spark.read.parquet(str(tmp_path / name / step))
+        assert docs.count() == (len({1, 5, 6, 7, 10, None}) if name == "odd" else 0)
+
+
+def test_registered():
+    assert "pipeline" in entry_module.queries() and corpus_pipeline.ORACLE_SQL is None
+    assert [f"op{i}_" for i in range(1, 11)] == [name[: name.index("_") + 1] for name in sorted(
+        (n for n in entry_module.queries() if n.startswith("op")), key=lambda n: int(n[2 : n.index("_")]))]
+    assert len(sentence(1, 5).split()) == 5
