@@ -1,9 +1,10 @@
 """Links between similar sets from shared bucket keys, and their connected components.
 
 A bucket may hold a third of all rows, so its pairs are never listed. Every member is first
-compared with one member of its bucket, then with another one; members that are linked become
-one component. What is left are members of different components in one bucket: for those a
-prefix filter finds the pairs that can still be similar. Two sets of Jaccard similarity s or more
+compared with one member of its bucket, the one that shares buckets with most others and so is
+likely to be similar to many; then with the first such member outside that one's component.
+Members that are linked become one component. What is left are members of different components
+in one bucket: for those a prefix filter finds the pairs that can still be similar. Two sets of Jaccard similarity s or more
 share one of their n - ceil(s n) + 1 rarest elements, so elements that one set alone has, or
 that most sets have, bring no pairs. No pair is lost: a pair in a bucket is in one component or
 goes through the filter.
@@ -41,39 +42,46 @@ def components(links: DataFrame) -> DataFrame:
         pairs = stored(small.union(least).distinct(), "links")
 
 
-def similar(shared: Column, a: Column, b: Column, percent: int) -> Column:
-    return 100 * shared >= percent * (a + b - shared)
-
-
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets have at least this Jaccard similarity in percent."""
-    sizes = sets.select("id", "n").distinct()
-    small = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-    small = small.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
-    left = small.join(sets.toDF("a", "na", "ha"), "a")
-    held = left.join(sets.toDF("b", "nb", "hb"), "b")
+    """Of pairs (a, na, b, nb) those (a, b) whose whole sets have this Jaccard similarity in percent."""
+    alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    small = pairs.where(alike).distinct()
+    left = small.join(sets.select(F.col("id").alias("a"), F.col("h").alias("ha")), "a")
+    held = left.join(sets.select(F.col("id").alias("b"), F.col("h").alias("hb")), "b")
     shared = F.size(F.array_intersect("ha", "hb"))
-    return held.where(similar(shared, F.col("na"), F.col("nb"), percent)).select("a", "b")
+    return held.where(100 * shared >= percent * (F.col("na") + F.col("nb") - shared)).select("a", "b").distinct()
 
 
 def crowded(members: DataFrame) -> DataFrame:
-    """The members (key, id) of buckets with more than one id."""
-    keys = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
-    return members.join(keys, "key", "left_semi")
+    """(key, id, n, company) in buckets with more than one id, from (key, id, n); ``company`` is the
+    sum of the sizes of an id's buckets, by which the middle of a group of near copies stands out."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("low"), F.max("id").alias("high"))
+    shared = stored(members.join(sizes.where("low < high").select("key", "size"), "key"), "shared")
+    company = shared.groupBy("id").agg(F.sum("size").alias("company"))
+    return shared.select("key", "id", "n").join(company, "id")
+
+
+def leaders(members: DataFrame) -> DataFrame:
+    """(key, b, nb): the id of each bucket with the most company, of equal ones the largest."""
+    first = F.max(F.struct("company", "id", "n"))
+    return members.groupBy("key").agg(first.alias("first")).select("key", F.col("first.id").alias("b"), F.col("first.n").alias("nb"))
 
 
 def unsettled(members: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, id, component, low, high) in buckets that hold more than one component."""
-    own = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    ends = own.groupBy("key").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.min("id").alias("low"), F.max("id").alias("high")
-    )
-    return own.join(ends.where("least < most").select("key", "low", "high"), "key")
+    """The members, with their component, of buckets that hold more than one component."""
+    own = members.drop("component").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    ends = own.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    return own.join(ends.where("least < most").select("key"), "key", "left_semi")
 
 
 def by_prefix(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that share one of their rarest elements."""
-    held = sets.join(rest, "id")
+    """Pairs (a, b) of different components that share one of their rarest elements.
+
+    With elements in one order, rarest first, the first one that two sets share, at places i and
+    j, leaves room for at most 1 + min(na - i, nb - j) shared ones; a pair of this similarity
+    needs percent / (100 + percent) of na + nb.
+    """
+    held = rest.join(sets.select("id", "h"), "id")
     elements = stored(held.select("id", "n", "component", F.explode("h").alias("e")), "elements")
     common = elements.groupBy("e").agg(F.count("*").alias("seen")).where("seen > 1")
     own = Window.partitionBy("id")
@@ -82,30 +90,40 @@ def by_prefix(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "n",
         "component",
         "e",
-        F.row_number().over(own.orderBy("seen", "e")).alias("rank"),
-        F.count("*").over(own).alias("shared"),
+        (F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("seen", "e"))).alias("place"),
     )
-    reach = F.expr(f"n - ({percent} * n + 99) div 100 + 1")
-    prefix = stored(ranked.where((F.col("n") - F.col("shared") + F.col("rank")) <= reach).select("id", "n", "component", "e"), "prefix")
-    a, b = prefix.toDF("a", "na", "ca", "e"), prefix.toDF("b", "nb", "cb", "e")
-    fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.col("ca") < F.col("cb"))
-    return a.join(b, "e").where(fits).select("a", "b").distinct()
+    prefix = stored(ranked.where(F.expr(f"place <= n - ({percent} * n + 99) div 100 + 1")), "prefix")
+    a, b = prefix.toDF("a", "na", "ca", "e", "i"), prefix.toDF("b", "nb", "cb", "e", "j")
+    alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    room = 1 + F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j"))
+    enough = (100 + percent) * room >= percent * (F.col("na") + F.col("nb"))
+    return a.join(b, "e").where((F.col("ca") < F.col("cb")) & alike & enough).select("a", "na", "b", "nb").distinct()
+
+
+#: Rounds in which the members of a bucket are compared with one of them.
+ROUNDS = 2
 
 
 def link(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(id, component) from members (key, id) of buckets and whole sets (id, n, h)."""
-    least = members.groupBy("key").agg(F.min("id").alias("b"))
-    stars = members.join(least, "key").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
-    links = stored(verified(stars, sets, percent), "verified")
-    found = components(links)
-    rest = stored(unsettled(members, found), "unsettled")
-    if rest.isEmpty():
-        return found
-    other = rest.where("id <> high").select(F.col("id").alias("a"), F.col("high").alias("b")).distinct()
-    links = stored(links.union(verified(other, sets, percent)), "verified")
-    found = components(links)
-    rest = stored(unsettled(rest.select("key", "id"), found).select("id", "component").distinct(), "unsettled")
-    if rest.isEmpty():
-        return found
+    """(id, component) from the ``crowded`` members of buckets and whole sets (id, n, h).
+
+    A leader that all members of its bucket have been compared with leaves the bucket, so a
+    bucket of two is settled by one comparison.
+    """
+    rest, found, links = members.withColumn("component", F.col("id")), None, None
+    for turn in range(ROUNDS):
+        led = stored(rest.join(leaders(rest), "key"), "led")
+        if turn:
+            known = led.select(F.col("id").alias("b"), F.col("component").alias("of")).distinct()
+            led = led.join(known, "b").where("component <> of or id = b")
+        stars = led.where("id <> b").select(F.col("id").alias("a"), F.col("n").alias("na"), "b", "nb")
+        fresh = verified(stars, sets, percent)
+        links = stored(links.union(fresh) if links else fresh, "verified")
+        found = components(links)
+        left = rest.join(leaders(rest).select("key", F.col("b").alias("id")), ["key", "id"], "left_anti")
+        rest = stored(unsettled(left, found), "unsettled")
+        if rest.isEmpty():
+            return found
+    rest = rest.select("id", "n", "component").distinct()
     links = links.union(verified(by_prefix(rest, sets, percent), sets, percent))
     return components(links)

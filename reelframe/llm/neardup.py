@@ -66,7 +66,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     usable = signed.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
     classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("node"))
     first = usable.join(classes.withColumnRenamed("node", "doc_id"), ["set_key", "doc_id"])
-    members = first.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
+    members = first.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"))
     members = stored(crowded(members), "members")
     ids = stored(members.select("id").distinct(), "candidates")
     sets = stored(sets_of(docs, ids), "sets")

@@ -75,7 +75,7 @@ def test_prefix_filter_loses_no_pair(spark):
         swapped = rng.choice(sorted(base), rng.integers(0, 8), replace=False)
         sets[i] = frozenset((base - set(swapped)) | {1000 * (i + 1) + int(s) for s in swapped})
     frame = spark.createDataFrame([(i, len(s), sorted(s)) for i, s in sets.items()], "id long, n int, h array<long>")
-    rest = frame.select("id", F.col("id").alias("component"))
+    rest = frame.select("id", "n", F.col("id").alias("component"))
     found = {(min(r.a, r.b), max(r.a, r.b)) for r in linking.verified(linking.by_prefix(rest, frame, 85), frame, 85).collect()}
     wanted = {
         (i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])
