@@ -26,7 +26,7 @@ SAMPLE_DOCUMENTS = 16_000
 LEAST_DOCUMENTS = 5
 #: A term is learned if it is frequent, or if its chi-squared with the label is beyond chance
 #: among all terms; the others stay at 0, so that copies of a text can't be learned by heart.
-FREQUENT, ASSOCIATED = 0.02, 25.0
+FREQUENT, ASSOCIATED = 0.3, 25.0
 EPOCHS = 15
 RATE = 0.15
 SHRINK_LINEAR, SHRINK_PAIRS = 1e-5, 1e-3
