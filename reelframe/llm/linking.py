@@ -62,9 +62,11 @@ def crowded(members: DataFrame) -> DataFrame:
 
 
 def leaders(members: DataFrame) -> DataFrame:
-    """(key, b, nb): the id of each bucket with the most company, of equal ones the largest."""
-    first = F.max(F.struct("company", "id", "n"))
-    return members.groupBy("key").agg(first.alias("first")).select("key", F.col("first.id").alias("b"), F.col("first.n").alias("nb"))
+    """(key, b, nb, of): the id of each bucket with the most company, of equal ones the largest,
+    with its size and component."""
+    first = members.groupBy("key").agg(F.max(F.struct("company", "id", "n", "component")).alias("first"))
+    named = {"b": "first.id", "nb": "first.n", "of": "first.component"}
+    return first.select("key", *[F.col(field).alias(name) for name, field in named.items()])
 
 
 def unsettled(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -111,17 +113,13 @@ def link(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     bucket of two is settled by one comparison.
     """
     rest, found, links = members.withColumn("component", F.col("id")), None, None
-    for turn in range(ROUNDS):
-        led = stored(rest.join(leaders(rest), "key"), "led")
-        if turn:
-            known = led.select(F.col("id").alias("b"), F.col("component").alias("of")).distinct()
-            led = led.join(known, "b").where("component <> of or id = b")
-        stars = led.where("id <> b").select(F.col("id").alias("a"), F.col("n").alias("na"), "b", "nb")
+    for _ in range(ROUNDS):
+        led = stored(rest.join(leaders(rest), "key").where("id <> b"), "led")
+        stars = led.where("component <> of").select(F.col("id").alias("a"), F.col("n").alias("na"), "b", "nb")
         fresh = verified(stars, sets, percent)
         links = stored(links.union(fresh) if links else fresh, "verified")
         found = components(links)
-        left = rest.join(leaders(rest).select("key", F.col("b").alias("id")), ["key", "id"], "left_anti")
-        rest = stored(unsettled(left, found), "unsettled")
+        rest = stored(unsettled(led.drop("b", "nb", "of"), found), "unsettled")
         if rest.isEmpty():
             return found
     rest = rest.select("id", "n", "component").distinct()
