@@ -10,7 +10,7 @@ from reelframe.llm import bpe, decontamination, langid, neardup, pii
 from reelframe.session import scratch_path
 
 #: Documents whose language the network gives a smaller probability are rejected.
-LEAST_LANGUAGE_SCORE = 0.5
+LEAST_LANGUAGE_SCORE = 0.35
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
