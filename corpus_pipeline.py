@@ -11,6 +11,8 @@ from reelframe.session import scratch_path
 
 #: Documents whose language the network gives a smaller probability are rejected.
 LEAST_LANGUAGE_SCORE = 0.35
+#: Jaccard similarity of whole sets of 5-word shingles, in percent, from which documents are near copies.
+NEAR_PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +22,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies."""
-    return neardup.deduplicated(docs)
+    return neardup.deduplicated(docs, NEAR_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

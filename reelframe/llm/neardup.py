@@ -15,7 +15,8 @@ from reelframe.llm.shingles import band_keys, circulant, shingle_hashes, word_ha
 from reelframe.llm.workers import broadcast_if_small, map_rows, stored
 
 PERCENT = 85
-#: 36 bands of 6 coordinates: a pair at the threshold misses all bands once in 25 million.
+#: 36 bands of 6 coordinates: a pair at the threshold misses all bands once in 25 million, one
+#: of similarity 0.80, which the pipeline asks for, twice in 100,000.
 BANDS, ROWS = 36, 6
 
 SIGNED = "doc_id long, n_shingles long, set_key binary, keys array<long>"

@@ -49,6 +49,23 @@ def test_odd_rows_go_through_all_stages(spark, odd_docs, no_docs, small_tables,
         assert docs.count() == (len({1, 5, 6, 7, 10, None}) if name == "odd" else 0)
 
 
+def test_near_duplicates_from_80_percent_on(spark, documents, small_tables):
+    """Copies with one to eight edits each; some pairs lie between 0.80 and 0.85."""
+    rows = []
+    for i in range(30):
+        words = sentence(800 + i, 200).split()
+        for copy, edits in enumerate((0, *range(1, 9))):
+            places = [7 + 23 * e for e in range(edits)]
+            rows.append((10 * i + copy, " ".join(f"edit{i}x{copy}" if at in places else w for at, w in enumerate(words))))
+    rows += [(1000 + r.doc_id, r.text) for r in documents.collect()]
+    sets = {i: shingles(text) for i, text in rows}
+    wanted = set(groups(sets, 80).values())
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, small_tables).collect()]
+    assert sorted(left) == sorted(wanted)
+    assert len(wanted) < len(set(groups(sets, 85).values()))
+
+
 def test_registered():
     assert "pipeline" in entry_module.queries() and corpus_pipeline.ORACLE_SQL is None
     assert [f"op{i}_" for i in range(1, 11)] == [name[: name.index("_") + 1] for name in sorted(
