@@ -25,8 +25,9 @@ FACTORS = 4
 SAMPLE_DOCUMENTS = 16_000
 LEAST_DOCUMENTS = 5
 #: A term is learned if it is frequent, or if its chi-squared with the label is beyond chance
-#: among all terms; the others stay at 0, so that copies of a text can't be learned by heart.
-FREQUENT, ASSOCIATED = 0.3, 25.0
+#: among all terms, or among the texts that hold some other term beyond chance among all pairs;
+#: the others stay at 0, so that copies of a text can't be learned by heart.
+FREQUENT, ASSOCIATED, ASSOCIATED_IN_PAIRS = 0.3, 25.0, 45.0
 EPOCHS = 15
 RATE = 0.15
 SHRINK_LINEAR, SHRINK_PAIRS = 1e-5, 1e-3
@@ -56,15 +57,45 @@ def places(text: str | None) -> np.ndarray:
     return np.fromiter({terms[word] for word in found}, np.int32)
 
 
+def chi_squared(seen: np.ndarray, both: np.ndarray, n: int, ones: float) -> np.ndarray:
+    """Of terms in ``seen`` of n texts, and in ``both`` of the ``ones`` that are labelled 1."""
+    gap = both * n - seen * ones
+    spread = np.maximum(seen * (n - seen) * ones * (n - ones), 1.0)
+    return n * gap**2 / spread
+
+
 def worth_learning(texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Which hashed terms the machine learns, by their counts in all texts and in those labelled 1."""
     n, ones = len(texts), float(labels.sum())
-    seen = np.bincount(np.concatenate(texts), minlength=BUCKETS).astype(float)
-    owner = np.repeat(labels, [len(t) for t in texts])
-    both = np.bincount(np.concatenate(texts), owner, minlength=BUCKETS)
-    gap = both * n - seen * ones
-    spread = np.maximum(seen * (n - seen) * ones * (n - ones), 1.0)
-    return (seen >= LEAST_DOCUMENTS) & ((seen >= FREQUENT * n) | (n * gap**2 / spread >= ASSOCIATED))
+    flat, sizes = np.concatenate(texts), np.array([len(t) for t in texts])
+    seen = np.bincount(flat, minlength=BUCKETS).astype(float)
+    both = np.bincount(flat, np.repeat(labels, sizes), minlength=BUCKETS)
+    known = seen >= LEAST_DOCUMENTS
+    learned = known & ((seen >= FREQUENT * n) | (chi_squared(seen, both, n, ones) >= ASSOCIATED))
+    numbers = np.flatnonzero(known)
+    learned[numbers[in_pairs([np.searchsorted(numbers, t[known[t]]) for t in texts], labels, len(numbers))]] = True
+    return learned
+
+
+def in_pairs(texts: list[np.ndarray], labels: np.ndarray, terms: int) -> np.ndarray:
+    """Which of the numbered terms tell the label among the texts that hold some other term. Every
+    pair is tested; chi-squared is at most the number of texts, so terms in fewer have none."""
+    flat, sizes = np.concatenate(texts), np.array([len(t) for t in texts])
+    holders = np.repeat(np.arange(len(texts)), sizes)[np.argsort(flat, kind="stable")]
+    ends = np.cumsum(np.bincount(flat, minlength=terms))
+    found = np.zeros(terms, bool)
+    if not terms:
+        return found
+    for start, end in zip([0, *ends[:-1]], ends, strict=True):
+        n, own = end - start, labels[holders[start:end]]
+        if n < ASSOCIATED_IN_PAIRS or not 0 < own.sum() < n:
+            continue
+        chosen = holders[start:end]
+        held = np.concatenate([texts[i] for i in chosen])
+        seen = np.bincount(held, minlength=terms).astype(float)
+        both = np.bincount(held, np.repeat(own, sizes[chosen]), minlength=terms)
+        found |= (seen >= LEAST_DOCUMENTS) & (chi_squared(seen, both, n, float(own.sum())) >= ASSOCIATED_IN_PAIRS)
+    return found
 
 
 class Machine:

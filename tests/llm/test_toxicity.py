@@ -26,6 +26,26 @@ def test_pairs_are_learned_that_sums_miss():
     assert machine.factors[i] @ machine.factors[g] > 0
 
 
+def test_pairs_without_marginal_effect_are_learned():
+    """Both words are in about 5 % of the texts, as often in clean as in toxic ones; only the pair tells."""
+    rng = random.Random(6)
+    texts, labels, paired = [], [], []
+    for _ in range(12_000):
+        drawn = rng.random()
+        first, second = drawn < 0.05, 0.025 <= drawn < 0.075
+        slur = not (first or second) and rng.random() < 0.5
+        words = rng.sample(WORDS, 6) + ["insult"] * first + ["group"] * second + ["slur"] * slur
+        texts.append(np.sort(toxicity.places(" ".join(words))))
+        labels.append(float(slur or (first and second)))
+        paired.append(first or second)
+    machine = toxicity.Machine()
+    machine.train(texts[:9000], np.array(labels[:9000]))
+    held = [i for i in range(9000, 12_000) if paired[i]]
+    offsets = np.cumsum([0, *(len(texts[i]) for i in held)])
+    found = machine.margins(np.concatenate([texts[i] for i in held]), offsets) > 0
+    assert (found == np.array([labels[i] for i in held], bool)).mean() > 0.9
+
+
 def test_held_out_scores(spark):
     tables = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{tables}/{n}.parquet") for n in ("documents", "labels"))
