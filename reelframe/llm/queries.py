@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.llm import bpe, decontamination, fingerprints, htmltext, langid, licenses, neardup, pii, substrings, toxicity
+from reelframe.llm import bpe, decontamination, fingerprints, htmltext, langid, licenses, neardup, pieces, pii, substrings, toxicity
 
 LLM_QUERIES = {}
 LLM_ORACLES = {}
@@ -99,3 +99,9 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode_decode(table(spark, sf_dir, "documents"), model).select("doc_id", *pieces.digests())
