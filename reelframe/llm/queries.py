@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.llm import bpe, decontamination, fingerprints, htmltext, langid, licenses, neardup, pieces, pii, substrings, toxicity
+from reelframe.llm import bpe, centroids, collocations, decontamination, fingerprints, htmltext, langid, licenses, neardup, pieces, pii, substrings, toxicity
 
 LLM_QUERIES = {}
 LLM_ORACLES = {}
@@ -105,3 +105,20 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.encode_decode(table(spark, sf_dir, "documents"), model).select("doc_id", *pieces.digests())
+
+
+@query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return centroids.cluster(vectors, centroids.fit(vectors))
+
+
+LLM_ORACLES["op11_centroids"] = centroids.as_sql()
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLES["op12_collocations"] = collocations.as_sql()
