@@ -9,6 +9,7 @@ from reelframe.sources.csv_lines import (
     split_lines,
     torn_line,
 )
+from reelframe.sources.csv_records import read_records
 from reelframe.sources.inline import inline_rows
 from reelframe.sources.keyed import cells_by_qualifier, key_range, keyed_scan, row_count
 
@@ -21,6 +22,7 @@ __all__ = [
     "keyed_scan",
     "named_fields",
     "read_lines",
+    "read_records",
     "row_count",
     "scan_csv",
     "scrub_lines",

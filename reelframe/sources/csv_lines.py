@@ -1,7 +1,8 @@
 """Quoted CSV read line by line, so that files of any size split across tasks.
 
-A quoted line break inside a field is not supported: the line is the unit of work. The two halves
-of such a record have an odd number of quotes each, by which ``torn_line`` knows them.
+The line is the unit of work here; files whose quoted fields hold line breaks are read by
+``csv_records``. The halves of a record cut at a line have an odd number of quotes each, by which
+``torn_line`` knows them.
 """
 
 from __future__ import annotations
