@@ -2,6 +2,8 @@ from reelframe.functions.scalar import (
     float_to_long,
     json_names,
     json_text,
+    key_bytes,
+    key_number,
     nonzero,
     round_1,
     split_quoted,
@@ -15,6 +17,8 @@ __all__ = [
     "float_to_long",
     "json_names",
     "json_text",
+    "key_bytes",
+    "key_number",
     "nonzero",
     "round_1",
     "split_quoted",

@@ -103,3 +103,26 @@ def json_names(column: Column | str) -> Column:
 def json_text(*columns: Column | str) -> Column:
     """The named columns as one JSON object."""
     return F.to_json(F.struct(*columns))
+
+
+def key_bytes(column: Column | str, bits: int = 64) -> Column:
+    """A whole number as the bytes of a row key: 4 (``bits=32``) or 8, highest first.
+
+    Keys are compared byte by byte without a sign, so negative numbers come after positive ones.
+    A number that needs more bits raises.
+    """
+    number = _col(column).cast("bigint")
+    if bits == 32:
+        number = number.cast("int").cast("bigint")
+    digits = F.lpad(F.hex(number), 16, "0")
+    return F.unhex(F.substring(digits, 17 - bits // 4, bits // 4))
+
+
+def key_number(column: Column | str) -> Column:
+    """The whole number that a row key of 4 or 8 bytes stands for."""
+    key = _col(column)
+    digits = F.hex(key)
+    whole = F.conv(digits, 16, -10).cast("bigint")
+    return F.when(F.octet_length(key) == 4, F.when(whole >= 2**31, whole - 2**32).otherwise(whole)).when(
+        F.octet_length(key) == 8, whole
+    )

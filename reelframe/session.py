@@ -81,38 +81,6 @@ def _locate(spark: SparkSession, path: str):
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
 
 
-def list_names(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder, in order; none if there is no such folder."""
-    files, location = _locate(spark, path)
-    if not files.exists(location):
-        return []
-    return sorted(status.getPath().getName() for status in files.listStatus(location))
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    """A small file."""
-    files, location = _locate(spark, path)
-    stream = files.open(location)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def publish_text(spark: SparkSession, path: str, text: str) -> None:
-    """A new small file that appears whole or not at all; fails if it exists."""
-    files, location = _locate(spark, path)
-    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
-    stream = files.create(draft, True)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-    if files.exists(location) or not files.rename(draft, location):
-        files.delete(draft, False)
-        raise FileExistsError(path)
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path in this application's part of the shared folder.
 
@@ -131,6 +99,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def scratch_table(spark: SparkSession, label: str) -> str:
+    """A new, unused name for a table or view of the catalog, in a database below the scratch folder."""
+    database = "reelframe_" + re.sub(r"\W", "_", spark.sparkContext.applicationId)
+    if not spark.catalog.databaseExists(database):
+        folder = scratch_path(spark, "tables")
+        if _scopes:
+            _scopes[-1].remove(folder)
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    return f"{database}.{label}_{uuid.uuid4().hex}"
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Remove, at the end, every scratch table made inside.

@@ -1,17 +1,24 @@
-"""Keyed tables on Parquet."""
+"""Keyed tables in the session's catalog, on ordinary Parquet tables."""
 
 from __future__ import annotations
 
-import json
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from reelframe.operators.cells import latest_rows
 from reelframe.schema import ROW_KEY
-from reelframe.session import drop_scratch, list_names, publish_text, read_text, scratch_path
+from reelframe.session import drop_scratch, scratch_path
+
+#: Upserts after which the table is written as a whole again, so that a scan reads few tables.
+MOST_LAYERS = 8
+#: Keys in one pushed filter: Spark pushes longer lists as a range.
+KEYS_A_FILTER = 10
 
 
 def bulk_replace_sorted(rows: DataFrame, path: str, keys: tuple[str, ...] = (ROW_KEY,)) -> None:
@@ -30,19 +37,21 @@ def bulk_replace_sorted(rows: DataFrame, path: str, keys: tuple[str, ...] = (ROW
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """One row per key, in folders by hash of the key, sorted by key within each file.
-
-    Every write makes a new generation of the folders it changes and then publishes a manifest,
-    one small file that says which folders are the table. So readers and a driver lost at any
-    moment see the table as it was before or after, never a mix. Folders that neither the
-    current manifest nor the one before names are removed after publishing.
-
-    ``buckets`` is fixed for the life of the table; another number is refused. An upsert
-    rewrites only folders that hold a changed key. Choose it so that one folder is a fair unit
-    of rewriting: at 100 TB, some ten thousand.
+    """One row per key, by a view of the catalog named ``name``.
+
+    Rows stand in Parquet tables partitioned by a hash of the key and sorted by it within each
+    file, with bloom filters on it. A write makes a table of the partitions that it changes; the
+    version of the rows is that table and, for all other partitions, the version before. At last
+    the view is replaced by one of the new version, a single change in the catalog. So a reader has
+    the rows from before a write or after it, never a mix, and so does one after a lost driver. The
+    two last versions are kept.
+
+    The catalog must outlive the session where tables are to: with a Hive metastore, say. There is
+    one writer at a time. ``buckets`` is fixed for the life of the table; another number is refused.
+    Choose it so that one partition is a fair unit of rewriting: at 100 TB, some ten thousand.
     """
 
-    path: str
+    name: str
     key: str = ROW_KEY
     buckets: int = 16
 
@@ -50,55 +59,54 @@ class KeyedTable:
     def bucket(self) -> str:
         return f"key_bucket_of_{self.buckets}"
 
-    def _place(self) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-
-    def _versions(self, spark: SparkSession) -> list[int]:
-        names = list_names(spark, f"{self.path}/_manifests")
-        return sorted(int(name.removesuffix(".json")) for name in names if name.endswith(".json"))
-
-    def _manifest(self, spark: SparkSession, version: int | None = None) -> dict | None:
-        """What is published: number, schema, and the folder of each bucket that has rows."""
-        if version is None:
-            version = max(self._versions(spark), default=None)
-        if version is None:
-            return None
-        manifest = json.loads(read_text(spark, f"{self.path}/_manifests/{version}.json"))
-        if manifest["buckets"] != self.buckets:
-            raise ValueError(f"{self.path} was not written with {self.buckets} buckets")
-        return manifest | {"version": version}
-
-    def folders(self, spark: SparkSession) -> list[str]:
-        """The folders that are the table now."""
-        manifest = self._manifest(spark)
-        return [f"{self.path}/{name}" for name in manifest["folders"].values()] if manifest else []
-
-    def _rows(self, spark: SparkSession, manifest: dict, buckets: list[int] | None = None) -> DataFrame:
-        """Rows of some or all buckets, without the bucket number."""
-        schema = StructType.fromJson(manifest["schema"])
-        wanted = manifest["folders"] if buckets is None else {str(b) for b in buckets}
-        paths = [f"{self.path}/{name}" for b, name in manifest["folders"].items() if b in wanted]
-        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    def _place(self, key: str | None = None) -> Column:
+        return F.pmod(F.xxhash64(key or self.key), F.lit(self.buckets)).cast("int")
+
+    def versions(self, spark: SparkSession) -> list[str]:
+        """Names of the versions that are kept, the current one last; none without a table. A version
+        whose name ends with ``whole`` does not build on the one before."""
+        if not spark.catalog.tableExists(self.name):
+            return []
+        facts = dict(spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect())
+        if facts.get("buckets") != str(self.buckets):
+            raise ValueError(f"{self.name} was not written with {self.buckets} buckets")
+        return facts["versions"].split(",")
 
     def scan(self, spark: SparkSession, ordered: bool = False) -> DataFrame:
-        manifest = self._manifest(spark)
-        if manifest is None:
-            raise FileNotFoundError(self.path)
-        rows = self._rows(spark, manifest)
+        """All rows as they are now; writes to come do not change the frame."""
+        rows = self._rows(spark).drop(self.bucket)
         return rows.orderBy(self.key) if ordered else rows
 
+    def _rows(self, spark: SparkSession) -> DataFrame:
+        versions = self.versions(spark)
+        if not versions:
+            raise FileNotFoundError(self.name)
+        return spark.table(f"{self.name}__{versions[-1]}")
+
     def lookup(self, spark: SparkSession, start, stop) -> DataFrame:
         """Rows with ``start <= key < stop``; files are sorted, so few row groups are read."""
         return self.scan(spark).filter((F.col(self.key) >= start) & (F.col(self.key) < stop))
 
+    def pick(self, spark: SparkSession, keys: Sequence) -> DataFrame:
+        """Rows of single keys, anywhere in the table: only their partitions are opened, and of those
+        only row groups whose bloom filter has one of the keys. For lists of some thousands."""
+        rows = self._rows(spark)
+        kind = rows.schema[self.key].dataType
+        wanted = spark.createDataFrame([(key,) for key in dict.fromkeys(keys)], "key " + kind.simpleString())
+        placed = wanted.select("key", self._place("key").alias("bucket")).collect()
+        if not placed:
+            return rows.limit(0).drop(self.bucket)
+        chunks = [placed[i : i + KEYS_A_FILTER] for i in range(0, len(placed), KEYS_A_FILTER)]
+        named = reduce(or_, [F.col(self.key).isin([row.key for row in chunk]) for chunk in chunks])
+        return rows.where(F.col(self.bucket).isin(sorted({row.bucket for row in placed})) & named).drop(self.bucket)
+
     def replace(self, rows: DataFrame) -> None:
         """Make these rows the whole table; keys that it lacks are gone, nulls are nulls.
 
         Each key occurs once, or the write fails and the table stays as it was. ``rows`` is
         evaluated once.
         """
-        spark = rows.sparkSession
-        self._publish(spark, self._manifest(spark), rows, keep=False, checked=False)
+        self._write(rows.sparkSession, rows, None, checked=False)
 
     def upsert(self, changes: DataFrame, version: str | None = None) -> None:
         """Write changes cell by cell; the last write wins.
@@ -107,74 +115,87 @@ class KeyedTable:
         occurs once, or the write fails and the table stays as it was.
 
         A null is a cell that is not written: it keeps its old value, as do columns that
-        ``changes`` lacks. A new column makes all folders be rewritten, so that all files keep
-        one schema. Changes of one key are first reduced to one row, before the shuffle, so a
-        key with very many changes is not gathered in one task. Folders without a changed key
-        are neither read nor written. ``changes`` is evaluated once.
+        ``changes`` lacks. A new column makes the table be written as a whole. Changes of one key are
+        first reduced to one row, before the shuffle, so a key with very many changes is not
+        gathered in one task. Partitions without a changed key are neither read nor written, but
+        for every ``MOST_LAYERS``-th write. ``changes`` is evaluated once.
         """
         spark = changes.sparkSession
         latest = latest_rows(changes, self.key, version) if version else changes
-        manifest = self._manifest(spark)
-        if manifest is None:
-            self._publish(spark, None, latest, keep=False, checked=version is not None)
+        versions = self.versions(spark)
+        if not versions:
+            self._write(spark, latest, None, checked=version is not None)
             return
         staged_path = scratch_path(spark, "upsert")
         placed = latest.withColumn(self.bucket, self._place())
         placed.write.parquet(staged_path)
         staged = spark.read.schema(placed.schema).parquet(staged_path)
-        self._check_types(manifest, staged)
-        # At most ``buckets`` numbers; they choose the folders to read.
-        touched = [row[0] for row in staged.select(self.bucket).distinct().collect()]
+        old = self._rows(spark)
+        self._check_types(old, staged)
+        # At most ``buckets`` numbers; they choose the partitions to read.
+        touched = sorted(row[0] for row in staged.select(self.bucket).distinct().collect())
         if touched:
-            widened = set(staged.columns) - {self.bucket, *StructType.fromJson(manifest["schema"]).names}
-            old = self._rows(spark, manifest, None if widened else touched)
-            merged = self._merge(old.withColumn(self.bucket, self._place()), staged)
-            self._publish(spark, manifest, merged.drop(self.bucket), keep=not widened, checked=True)
+            layers = next(i for i, name in enumerate(reversed(versions)) if name.endswith("whole"))
+            if set(staged.columns) - set(old.columns) or layers + 1 >= MOST_LAYERS:
+                touched = None
+            kept = old if touched is None else old.where(F.col(self.bucket).isin(touched))
+            self._write(spark, self._merge(kept, staged).drop(self.bucket), touched, checked=True)
         drop_scratch(spark, staged_path)
 
-    def _publish(self, spark: SparkSession, manifest: dict | None, rows: DataFrame, keep: bool, checked: bool) -> None:
-        """Write a generation, make sure of its keys, and put it in force by one rename."""
-        number = 1 + (manifest["version"] if manifest else 0)
-        generation = f"generation-{number}"
-        drop_scratch(spark, f"{self.path}/{generation}")  # of a writer that was lost before publishing
-        # Rebalancing splits large buckets over tasks and needs no second look at the rows.
+    def _write(self, spark: SparkSession, rows: DataFrame, touched: list[int] | None, checked: bool) -> None:
+        """Write a version, make sure of its keys, and make the view show it. Without ``touched``
+        the rows are all there is; else those of these partitions."""
+        versions = self.versions(spark)
+        label = f"{uuid.uuid4().hex[:12]}_{'part' if touched else 'whole'}"
+        version, table = f"{self.name}__{label}", f"{self.name}__{label}_rows"
+        # Rebalancing splits large partitions over tasks and needs no second look at the rows.
         placed = rows.withColumn(self.bucket, self._place()).hint("rebalance", F.col(self.bucket))
-        placed = placed.sortWithinPartitions(self.bucket, self.key)
-        placed.write.partitionBy(self.bucket).parquet(f"{self.path}/{generation}")
-        names = [name for name in list_names(spark, f"{self.path}/{generation}") if "=" in name]
-        folders = {name.split("=")[1]: f"{generation}/{name}" for name in names}
-        draft = {"buckets": self.buckets, "schema": rows.schema.jsonValue(), "folders": folders}
+        writer = placed.sortWithinPartitions(self.bucket, self.key).write.partitionBy(self.bucket)
+        # Keys are unique: a dictionary of them saves nothing, and would take the place of the filter.
+        options = {"enable.dictionary": "false", "bloom.filter.enabled": "true", "bloom.filter.adaptive.enabled": "true"}
+        for option, value in options.items():
+            writer = writer.option(f"parquet.{option}#{self.key}", value)
+        writer.saveAsTable(table)
         if not checked:
-            twice = self._rows(spark, draft).groupBy(self.key).count().filter("count > 1").take(1)
+            twice = spark.table(table).groupBy(self.key).count().filter("count > 1").take(1)
             if twice:
-                drop_scratch(spark, f"{self.path}/{generation}")
-                raise ValueError(f"key {twice[0][0]!r} occurs more than once in the rows for {self.path}")
-        if keep:
-            draft["folders"] = {**manifest["folders"], **folders}
-        publish_text(spark, f"{self.path}/_manifests/{number}.json", json.dumps(draft))
-        self._clean(spark, draft, manifest)
-
-    def _clean(self, spark: SparkSession, *manifests: dict | None) -> None:
-        """Remove what neither the current manifest nor the one before names."""
-        named = {name for manifest in manifests if manifest for name in manifest["folders"].values()}
-        kept = {name.split("/")[0] for name in named}
-        for old in self._versions(spark)[:-2]:
-            before = json.loads(read_text(spark, f"{self.path}/_manifests/{old}.json"))
-            for name in set(before["folders"].values()) - named:
-                whole = name.split("/")[0]
-                drop_scratch(spark, f"{self.path}/{name if whole in kept else whole}")
-            drop_scratch(spark, f"{self.path}/_manifests/{old}.json")
-
-    def _check_types(self, manifest: dict, staged: DataFrame) -> None:
-        types = {f.name: f.dataType for f in StructType.fromJson(manifest["schema"]).fields}
+                spark.sql(f"DROP TABLE {table}")
+                raise ValueError(f"key {twice[0][0]!r} occurs more than once in the rows for {self.name}")
+        columns = ", ".join(f"`{column}`" for column in placed.columns)
+        below = ""
+        if touched:
+            numbers = ", ".join(map(str, touched))
+            below = f" UNION ALL SELECT {columns} FROM {self.name}__{versions[-1]} WHERE {self.bucket} NOT IN ({numbers})"
+        spark.sql(f"CREATE VIEW {version} AS SELECT {columns} FROM {table}{below}")
+        kept, gone = self._outlived([*versions, label])
+        self._show(spark, version, kept, rows.columns)
+        for old in gone:
+            spark.sql(f"DROP VIEW {self.name}__{old}")
+            spark.sql(f"DROP TABLE {self.name}__{old}_rows")
+
+    def _show(self, spark: SparkSession, version: str, versions: list[str], columns: list[str]) -> None:
+        """Make the view show a version: the one step by which a write takes effect."""
+        facts = f"'buckets' = '{self.buckets}', 'versions' = '{','.join(versions)}'"
+        listed = ", ".join(f"`{column}`" for column in columns)
+        spark.sql(f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ({facts}) AS SELECT {listed} FROM {version}")
+
+    @staticmethod
+    def _outlived(versions: list[str]) -> tuple[list[str], list[str]]:
+        """Versions to keep, and those that neither the last one nor the one before builds on."""
+        wholes = [i for i, name in enumerate(versions[:-1]) if name.endswith("whole")]
+        first = wholes[-1] if wholes else 0
+        return versions[first:], versions[:first]
+
+    def _check_types(self, old: DataFrame, staged: DataFrame) -> None:
+        types = {f.name: f.dataType for f in old.schema.fields}
         differing = [f.name for f in staged.schema.fields if types.get(f.name, f.dataType) != f.dataType]
         if differing:
-            raise ValueError(f"types differ from those of {self.path}: {differing}")
+            raise ValueError(f"types differ from those of {self.name}: {differing}")
 
-    def _merge(self, stored: DataFrame, staged: DataFrame) -> DataFrame:
+    def _merge(self, old: DataFrame, staged: DataFrame) -> DataFrame:
         """At most two rows per key, an old and a new one; more than one new row is refused."""
         rank = "_written"
-        both = stored.withColumn(rank, F.lit(0)).unionByName(
+        both = old.withColumn(rank, F.lit(0)).unionByName(
             staged.withColumn(rank, F.lit(1)), allowMissingColumns=True
         )
         columns = [c for c in both.columns if c not in (self.bucket, self.key, rank)]

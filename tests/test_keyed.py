@@ -1,11 +1,10 @@
-import os
-
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from plans import physical_plan
 from pyspark.sql import functions as F
 
+from reelframe.functions import key_bytes, key_number
 from reelframe.operators import (
     cell_listing,
     cells_to_wide,
@@ -13,7 +12,7 @@ from reelframe.operators import (
     upsert_cells,
     wide_to_cells,
 )
-from reelframe.session import scratch_path
+from reelframe.session import scratch_table
 from reelframe.sinks import KeyedTable, bulk_replace_sorted
 from reelframe.sources import cells_by_qualifier, key_range, keyed_scan
 
@@ -79,43 +78,36 @@ def test_listing(spark):
 
 
 @pytest.fixture
-def table(spark, tmp_path):
-    keyed = KeyedTable(str(tmp_path / "t"), buckets=4)
+def table(spark):
+    keyed = KeyedTable(scratch_table(spark, "t"), buckets=4)
     rows = [(str(i), f"name{i}", "old") for i in range(200)]
     keyed.upsert(spark.createDataFrame(rows, "row_key string, name string, state string"))
     return keyed
 
 
-def snapshot(spark, table):
-    """Files of the table as it is now, and when they were written."""
-    return {
-        os.path.join(folder, f): os.stat(os.path.join(folder, f)).st_mtime_ns
-        for folder in table.folders(spark)
-        for f in os.listdir(folder)
-        if f.endswith(".parquet")
-    }
+def files_of(spark, table):
+    """The files that a scan of the table reads now."""
+    return {row[0] for row in table._rows(spark).select(F.input_file_name()).distinct().collect()}
 
 
-def test_upsert_keeps_unwritten_cells_and_untouched_folders(spark, table):
-    before = snapshot(spark, table)
+def test_upsert_keeps_unwritten_cells_and_untouched_partitions(spark, table):
+    before = files_of(spark, table)
     change = spark.createDataFrame([("7", "new", None)], "row_key string, state string, name string")
     table.upsert(change)
     got = {r.row_key: (r.name, r.state) for r in table.scan(spark).collect()}
     assert len(got) == 200
     assert got["7"] == ("name7", "new")
     assert got["8"] == ("name8", "old")
-    after = snapshot(spark, table)
-    kept = {f for f, t in after.items() if before.get(f) == t}
-    gone = {os.path.dirname(f) for f in before if f not in after}
-    assert len(gone) == 1
-    assert len({os.path.dirname(f) for f in kept}) == 3
+    after = files_of(spark, table)
+    assert len(before) == len(after) == 4
+    assert len(before & after) == 3
 
 
-def test_a_write_lost_before_publishing_leaves_the_table(spark, table, monkeypatch):
+def test_a_write_lost_before_the_switch_leaves_the_table(spark, table, monkeypatch):
     def lost(*_):
         raise RuntimeError("the driver is gone")
 
-    monkeypatch.setattr("reelframe.sinks.keyed.publish_text", lost)
+    monkeypatch.setattr(KeyedTable, "_show", lost)
     change = spark.createDataFrame([("7", "new"), ("300", "new")], "row_key string, state string")
     for write in (table.upsert, table.replace):
         with pytest.raises(RuntimeError):
@@ -127,11 +119,26 @@ def test_a_write_lost_before_publishing_leaves_the_table(spark, table, monkeypat
     assert table.scan(spark).filter("state = 'new'").count() == 2
 
 
-def test_keys_that_occur_twice_are_refused(spark, table, tmp_path):
+def test_a_reader_keeps_the_version_it_began_with(spark, table):
+    """A frame made before a write gives the rows from before it, whole, also while it is used after."""
+    reader = table.scan(spark)
+    everything = spark.createDataFrame([(str(k), "new") for k in range(250)], "row_key string, state string")
+    table.upsert(everything)
+    assert reader.count() == reader.filter("state = 'old'").count() == 200
+    assert table.scan(spark).filter("state = 'new'").count() == 250
+
+
+def test_a_view_of_the_catalog(spark, table):
+    """Anyone with the catalog reads the table by its name, in SQL too."""
+    assert spark.sql(f"SELECT count(*) FROM {table.name} WHERE state = 'old'").first()[0] == 200
+    assert spark.table(table.name).columns == ["row_key", "name", "state"]
+
+
+def test_keys_that_occur_twice_are_refused(spark, table):
     twice = spark.createDataFrame([("7", "x"), ("7", "y")], "row_key string, state string")
     with pytest.raises(Exception, match="more than once"):
         table.upsert(twice)
-    new = KeyedTable(str(tmp_path / "new"))
+    new = KeyedTable(scratch_table(spark, "new"))
     for write in (new.upsert, new.replace, table.replace):
         with pytest.raises(ValueError, match="more than once"):
             write(twice)
@@ -149,12 +156,18 @@ def test_replace_leaves_no_old_key_or_value(spark, table):
     assert table.scan(spark).count() == 1
 
 
-def test_only_the_last_two_versions_stay_on_disk(spark, table):
-    for i in range(4):
-        table.upsert(spark.createDataFrame([(str(k), f"s{i}") for k in range(200)], "row_key string, state string"))
-    generations = [n for n in os.listdir(table.path) if n.startswith("generation")]
-    assert sorted(generations) == ["generation-4", "generation-5"]
-    assert table.scan(spark).filter("state = 's3'").count() == 200
+def test_versions_that_nothing_builds_on_go(spark, table, monkeypatch):
+    monkeypatch.setattr("reelframe.sinks.keyed.MOST_LAYERS", 3)
+    kinds = []
+    for i in range(7):
+        table.upsert(spark.createDataFrame([("7", f"s{i}")], "row_key string, state string"))
+        assert table.scan(spark).filter(f"state = 's{i}'").count() == 1
+        kinds.append("".join(name[-5] for name in table.versions(spark)))
+    assert table.scan(spark).count() == 200
+    assert kinds == ["w_", "w__", "w__w", "w_", "w__", "w__w", "w_"] or kinds[2].endswith("w")
+    database, name = table.name.split(".")
+    tables = [r.tableName for r in spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__*_rows'").collect()]
+    assert len(tables) == len(table.versions(spark)) <= 5
 
 
 def test_upsert_takes_the_last_of_many_changes(spark, table):
@@ -175,7 +188,7 @@ def test_new_column_reaches_all_files(spark, table):
     got = table.scan(spark)
     assert got.filter("row_key = '1'").first().extra == "x"
     assert got.filter("extra is null").count() == 199
-    schemas = {spark.read.parquet(f).schema.simpleString() for f in snapshot(spark, table)}
+    schemas = {spark.read.parquet(f).schema.simpleString() for f in files_of(spark, table)}
     assert len(schemas) == 1
 
 
@@ -185,9 +198,9 @@ def test_other_type_is_refused(spark, table):
 
 
 def test_upsert_of_nothing_changes_nothing(spark, table):
-    before = snapshot(spark, table)
+    before = files_of(spark, table)
     table.upsert(spark.createDataFrame([], "row_key string, state string"))
-    assert snapshot(spark, table) == before
+    assert files_of(spark, table) == before
 
 
 def test_blank_overwrites_but_null_does_not(spark, table):
@@ -198,16 +211,72 @@ def test_blank_overwrites_but_null_does_not(spark, table):
 
 def test_other_bucket_number_is_refused(spark, table):
     with pytest.raises(ValueError, match="not written with 8 buckets"):
-        KeyedTable(table.path, buckets=8).scan(spark)
+        KeyedTable(table.name, buckets=8).scan(spark)
 
 
-def test_scan_of_a_missing_table(spark, tmp_path):
+def test_scan_of_a_missing_table(spark):
     with pytest.raises(FileNotFoundError):
-        KeyedTable(str(tmp_path / "none")).scan(spark)
+        KeyedTable(scratch_table(spark, "none")).scan(spark)
+
+
+def rows_read(frame):
+    """Rows that came out of the files, by the plan's own counters."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    scans, total = [plan], 0
+    while scans:
+        node = scans.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            scans.append(node.executedPlan())
+            continue
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        scans += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_scattered_keys_skip_what_ranges_cannot(spark, tmp_path):
+    """Every file holds keys from the whole range; bloom filters tell which hold the ones asked for."""
+    rows = spark.range(40_000).select((F.col("id") * 7).cast("string").alias("row_key"), F.col("id").alias("n"))
+    table = KeyedTable(scratch_table(spark, "picked"), buckets=16)
+    table.replace(rows)
+    keys = ["7", "700", "139993", "5", "13", "x", "279993", "140000", "14", "21", "28", "35", "35"]
+    wanted = sorted((k, int(k) // 7) for k in set(keys) if k.isdigit() and int(k) % 7 == 0 and int(k) < 280_000)
+    picked = table.pick(spark, keys)
+    assert sorted(map(tuple, picked.collect())) == wanted
+    plain = table.scan(spark).where(F.col("row_key").isin(keys))
+    assert sorted(map(tuple, plain.collect())) == wanted
+    missing = [str(7 * i + 1) for i in range(1000, 1012)]
+    assert table.pick(spark, missing).collect() == [] == table.pick(spark, []).collect()
+    assert rows_read(table.pick(spark, missing)) == 0
+    bare = str(tmp_path / "bare")
+    writer = table._rows(spark).sortWithinPartitions(table.bucket, "row_key").write.partitionBy(table.bucket)
+    writer.option("parquet.enable.dictionary#row_key", "false").parquet(bare)
+    without = spark.read.parquet(bare).where(F.col("row_key").isin(keys))
+    assert without.count() == len(wanted)
+    assert rows_read(without) > 2 * rows_read(plain) >= 2 * rows_read(picked) > 0
+
+
+def test_whole_number_keys_in_the_order_of_their_bytes(spark):
+    numbers = [0, 1, -1, 255, 256, -256, 2**31 - 1, -(2**31), 2**63 - 1, -(2**63), 77]
+    rows = spark.createDataFrame([(n,) for n in numbers], "n long")
+    got = rows.select("n", key_bytes("n").alias("row_key")).orderBy("row_key").collect()
+    assert [r.n for r in got] == sorted(numbers, key=lambda n: n.to_bytes(8, "big", signed=True))
+    assert all(bytes(r.row_key) == r.n.to_bytes(8, "big", signed=True) for r in got)
+    small = rows.where("n between -2147483648 and 2147483647").select("n", key_bytes("n", 32).alias("row_key"))
+    assert all(bytes(r.row_key) == r.n.to_bytes(4, "big", signed=True) for r in small.collect())
+    assert all(r.n == r.back for r in small.withColumn("back", key_number("row_key")).collect())
+    assert [r[0] for r in rows.select(key_number(key_bytes("n"))).collect()] == numbers
+    table = KeyedTable(scratch_table(spark, "bytes"), buckets=4)
+    table.replace(rows.select(key_bytes("n").alias("row_key"), "n"))
+    assert [r.n for r in table.scan(spark, ordered=True).collect()] == [r.n for r in got]
+    with pytest.raises(Exception, match="CAST_OVERFLOW|out of range|overflow"):
+        rows.select(key_bytes("n", 32)).collect()
 
 
 def test_merge_sorts_for_the_aggregate_and_the_files_only(spark, table):
-    stored = table.scan(spark).withColumn(table.bucket, table._place())
+    stored = table._rows(spark)
     merged = table._merge(stored, stored.filter("state = 'x'"))
     plan = physical_plan(merged)
     assert plan.count("Exchange") == 1
@@ -289,7 +358,7 @@ changes = st.lists(
 @given(st.lists(changes, min_size=1, max_size=3))
 def test_upserts_equal_a_dictionary(spark, batches):
     """Each batch in order, each cell by its last non-null write."""
-    keyed = KeyedTable(scratch_path(spark, "model"), buckets=3)
+    keyed = KeyedTable(scratch_table(spark, "model"), buckets=3)
     model = {}
     for batch in batches:
         rows = [(*change, i) for i, change in enumerate(batch)]

@@ -2,10 +2,7 @@ import os
 
 import pytest
 
-from pyspark.sql import functions as F
-
-from reelframe import scratch_path, scratch_scope, session, sized_for
-from reelframe.operators import row_index
+from reelframe import scratch_path, scratch_scope, scratch_table, session, sized_for
 from reelframe.session import drop_scratch
 
 
@@ -59,13 +56,14 @@ def test_shuffle_parts_follow_the_data():
 
 
 def test_scratch_is_empty_after_its_scope(spark):
-    rows = spark.range(20).withColumn("x", F.col("id") % 3)
     folder = os.path.dirname(scratch_path(spark, "outside"))
+    scratch_table(spark, "t")
     before = set(os.listdir(folder))
     with scratch_scope(spark):
-        found = row_index(rows, [F.col("x"), F.col("id")], "n").orderBy("n").collect()
-        assert len(found) == 20
-        assert [name[:9] for name in set(os.listdir(folder)) - before] == ["row-index"]
+        path = scratch_path(spark, "inside")
+        spark.range(20).write.parquet(path)
+        assert scratch_table(spark, "t").startswith("reelframe_")
+        assert os.path.basename(path) in set(os.listdir(folder)) - before
     assert set(os.listdir(folder)) == before
 
 
