@@ -1,9 +1,12 @@
 from reelframe.operators.aggregates import (
     count_by,
+    exploded,
     exploded_counts,
+    frequent,
     largest_first,
     nonzero_counts,
     runtime_histogram,
+    share_labels,
     share_of_total,
     top_counts,
 )
@@ -17,10 +20,12 @@ from reelframe.operators.cells import (
 )
 from reelframe.operators.joins import keyed_cross_join, positional_zip
 from reelframe.operators.ranking import (
+    Descending,
     descending,
     fixed_slots,
     row_index,
     sort_desc,
+    sorting,
     top_k,
     unique_id,
 )

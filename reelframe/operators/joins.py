@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelframe.operators.ranking import row_index
+from reelframe.operators.ranking import Order, row_index
 
 
 def positional_zip(
     left: DataFrame,
-    left_order: Sequence[Column],
+    left_order: Order,
     right: DataFrame,
-    right_order: Sequence[Column],
+    right_order: Order,
     index: str = "id",
 ) -> DataFrame:
     """The k-th row of one frame beside the k-th row of the other; the longer one runs on.

@@ -53,8 +53,6 @@ def fit_scores(
     """
     columns = _named((), features, label)
     complete = train.na.drop(subset=_named(keys, features, label)).select(*columns)
-    if complete.isEmpty():
-        raise ValueError("there are no complete rows to fit")
     estimator = LinearRegression(
         featuresCol="features",
         labelCol=label,
@@ -63,7 +61,12 @@ def fit_scores(
         regParam=regularization,
         elasticNetParam=elastic_net_mix,
     )
-    return estimator.fit(assemble_features(complete, features))
+    try:
+        return estimator.fit(assemble_features(complete, features))
+    except Exception as error:
+        if complete.isEmpty():
+            raise ValueError("there are no complete rows to fit") from error
+        raise
 
 
 def linear_score(model: LinearRegressionModel, features: Sequence[str]) -> Column:

@@ -5,15 +5,18 @@ from plans import physical_plan
 from pyspark.sql import functions as F
 
 from reelframe.operators import (
+    Descending,
     descending,
     fixed_slots,
     keyed_cross_join,
     positional_zip,
     row_index,
     sort_desc,
+    sorting,
     top_k,
     unique_id,
 )
+from reelframe.operators import ranking
 
 
 def test_descending_puts_nan_first_and_null_last(spark):
@@ -37,27 +40,67 @@ def test_row_index_counts_through_a_hot_value(spark):
     assert sorted(r.n for r in got) == list(range(3000))
 
 
-def test_row_index_spreads_and_settles_ties(spark):
-    """All rows share the order column: they still fill several partitions, the same way each time."""
-    rows = spark.range(4000).select(F.lit(1).alias("p"), F.col("id").alias("row_key"))
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        runs = [row_index(rows.repartition(n), [F.col("p")], "n") for n in (3, 5)]
-        first, second = ({r.row_key: r.n for r in run.collect()} for run in runs)
-        assert first == second
-        assert sorted(first.values()) == list(range(4000))
-        assert len(runs[0].inputFiles()) == 4
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-
-
-def test_row_index_has_no_window_over_the_rows(spark):
-    rows = spark.range(100).withColumnRenamed("id", "row_key")
-    plan = physical_plan(row_index(rows, [F.col("row_key")], "n"))
-    before_window = plan.split("Window")[0]
-    assert "BroadcastHashJoin" in before_window
-    assert plan.count("SinglePartition") == 1
-    assert "partial_count" in plan.split("SinglePartition")[1]
+@pytest.fixture
+def small_ranges(monkeypatch):
+    monkeypatch.setattr(ranking, "RANGE_ROWS", 100)
+    monkeypatch.setattr(ranking, "SAMPLE_PER_RANGE", 8)
+
+
+def numbered(frame, name="n"):
+    """Rows by their number, which count from 0 without a gap."""
+    rows = sorted(frame.collect(), key=lambda r: r[name])
+    assert [r[name] for r in rows] == list(range(len(rows)))
+    return rows
+
+
+def test_row_index_in_ranges_follows_any_order(spark, small_ranges):
+    """Text, numbers with NaN and nulls, up and down, over many ranges."""
+    rows = spark.range(3000).select(
+        F.col("id").alias("row_key"),
+        F.when(F.col("id") % 11 == 0, None).when(F.col("id") % 13 == 0, float("nan")).otherwise(F.col("id") % 7 - 3.0).alias("p"),
+        F.when(F.col("id") % 5 == 0, None).otherwise(F.concat(F.lit("Customer#00000"), (F.col("id") % 50).cast("string"))).alias("s"),
+    )
+    for order in (descending("p", "row_key"), [F.col("s"), *descending("p", "row_key")], [Descending(F.col("s")), F.col("row_key")]):
+        got = numbered(row_index(rows.repartition(5), order, "n"))
+        assert [r.row_key for r in got] == [r.row_key for r in rows.orderBy(*sorting(order)).collect()]
+
+
+def test_row_index_splits_a_hot_leading_value(spark, small_ranges):
+    """All rows share the leading value, a third of them the second one too; numbers do not depend on
+    how the rows lie."""
+    rows = spark.range(4000).select(
+        F.lit("hot").alias("p"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("q"), F.col("id").alias("row_key")
+    )
+    runs = [row_index(rows.repartition(n), [F.col("p"), F.col("q")], "n") for n in (3, 5)]
+    first, second = ({r.row_key: r.n for r in numbered(run)} for run in runs)
+    assert first == second
+    ordered = sorted(first, key=first.get)
+    assert [0 if i % 3 == 0 else i for i in ordered] == sorted(0 if i % 3 == 0 else i for i in range(4000))
+
+
+def test_row_index_writes_nothing_and_ranges_are_even(spark, small_ranges, monkeypatch):
+    """Only counts by range reach the driver; no table of rows is written."""
+    frames = []
+    real = spark.createDataFrame
+
+    def kept(data, schema=None, **more):
+        frames.append((data, schema))
+        return real(data, schema, **more)
+
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, schema=None, **more: kept(data, schema, **more))
+    monkeypatch.setattr("pyspark.sql.DataFrameWriter.parquet", None)
+    rows = spark.range(5000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 100).alias("p"), F.col("id").alias("k"))
+    assert len(numbered(row_index(rows, [F.col("p"), F.col("k")], "n"))) == 5000
+    offsets = next(data for data, schema in frames if "_size" in str(schema))
+    sizes = [size for _, _, size in offsets]
+    assert sum(sizes) == 5000 and len(sizes) > 30 and max(sizes) < 500
+
+
+def test_row_index_of_copies(spark, small_ranges):
+    """Rows that are the same in all columns are numbered one after the other."""
+    rows = spark.range(2000).select(F.when(F.col("id") % 3 == 0, -5).otherwise(F.col("id")).alias("p"))
+    got = numbered(row_index(rows, [F.col("p")], "n"))
+    assert [r.p for r in got] == sorted(-5 if i % 3 == 0 else i for i in range(2000))
 
 
 def test_row_index_of_nothing(spark):
