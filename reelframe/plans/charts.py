@@ -20,9 +20,12 @@ def popularity_chart(top: DataFrame, slots: int = POPULARITY_SLOTS) -> DataFrame
     return fixed_slots(bars, slots)
 
 
-def runtime_chart(histogram: DataFrame, slots: int = RUNTIME_SLOTS) -> DataFrame:
-    """Pie chart of a running-time table, with each slice in percent of all."""
+def runtime_chart(histogram: DataFrame, slots: int = RUNTIME_SLOTS, more: bool = False) -> DataFrame:
+    """Pie chart of a running-time table, with each slice in percent of all.
+
+    With ``more`` there are as many slices as groups if those are more than ``slots``.
+    """
     slices = histogram.select(
         "id", F.col("runtime").alias("productName"), F.col("count").alias("nums")
     )
-    return share_of_total(fixed_slots(slices, slots), "nums")
+    return share_of_total(fixed_slots(slices, slots, more=more), "nums")

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reelframe.functions import json_names, to_float, to_int, unquote_field
 from reelframe.operators import (
     cast_floats,
     descending,
+    exploded,
     exploded_counts,
     fit_metrics,
     fit_scores,
+    frequent,
     label_split,
     latest_rows,
     model_inputs,
-    nonblank_rows,
     runtime_histogram,
     score_fill,
     top_counts,
@@ -32,10 +33,9 @@ from reelframe.schema import (
 from reelframe.session import scratch_path, scratch_scope
 from reelframe.sinks import KeyedTable, write_csv
 from reelframe.sources import (
-    fields_to_wide,
     header_fields,
     named_fields,
-    read_lines,
+    read_records,
     scrub_lines,
     split_lines,
     torn_line,
@@ -43,40 +43,48 @@ from reelframe.sources import (
 
 
 def scrub_job(spark: SparkSession, raw_path: str, csv_path: str, rejects_path: str | None = None) -> None:
-    """Raw ISO-8859-1 CSV to clean CSV, without header lines.
+    """Raw ISO-8859-1 CSV to clean CSV, without header lines; fields may hold line breaks.
 
-    A line torn by a line break inside quotes has an odd number of quotes. It fails the job,
-    unless a place for such lines is given.
+    A record left open at the end of a file has an odd number of quotes. It fails the job, unless a
+    place for such records is given.
     """
-    lines = read_lines(spark, raw_path, "ISO-8859-1")
-    if rejects_path is None:
-        write_csv(scrub_lines(lines, torn="fail"), csv_path)
-        return
     with scratch_scope(spark):
-        told = _staged(lines.withColumn("_torn", torn_line("value")), "_torn")
+        records = read_records(spark, raw_path, "ISO-8859-1")
+        if rejects_path is None:
+            write_csv(scrub_lines(records, torn="fail"), csv_path)
+            return
+        told = _staged(records.withColumn("_torn", torn_line("value")), "_torn")
         told.filter("_torn").select("value").write.text(rejects_path)
         write_csv(scrub_lines(told.filter("not _torn").select("value")), csv_path)
 
 
-def load_job(spark: SparkSession, csv_path: str, movies: KeyedTable, rejects_path: str | None = None) -> None:
-    """Clean CSV into the film table; a later line of a file replaces an earlier one.
+def load_job(spark: SparkSession, csv_path: str, movies: KeyedTable, rejects_path: str | None = None) -> dict[str, int]:
+    """Clean CSV into the film table; a later record of a file replaces an earlier one.
 
-    Header lines are left out: those whose fields after the key are the column names. A line
-    with too few fields fails the job, unless a place for such lines is given; then rows and
-    rejects come from one pass over the files.
+    Header lines are left out: those whose fields after the key are the column names. A record
+    with too few fields fails the job, unless a place for such records is given; then rows and
+    rejects come from one pass over the files. Returned are the numbers of records ``loaded``,
+    ``rejected`` and found to be ``headers``, observed in the pass that writes the rows.
     """
-    lines = read_lines(spark, csv_path)
-    numbered = lines.withColumn(VERSION, F.monotonically_increasing_id())
+    seen = Observation("load")
     with scratch_scope(spark):
+        records = read_records(spark, csv_path, place=VERSION)
+        split = split_lines(records, keep=["value", VERSION])
+        kind = F.when(F.size("fields") < 1 + len(MOVIE_COLUMNS), "short").when(header_fields(F.col("fields")), "header")
+        told = split.withColumn("_kind", F.coalesce(kind, F.lit("row")))
+        numbers = {"loaded": "row", "rejected": "short", "headers": "header"}
+        told = told.observe(seen, *[F.count_if(F.col("_kind") == what).alias(name) for name, what in numbers.items()])
         if rejects_path is None:
-            rows = fields_to_wide(numbered, headers=False, keep=[VERSION])
+            message = F.concat(F.lit("too few fields: "), F.array_join("fields", ","))
+            short = F.raise_error(message).cast("array<array<string>>")
+            row = F.when(F.col("_kind") == "row", F.array("fields")).when(F.col("_kind") == "short", short)
+            rows = named_fields(told.select(F.explode(row).alias("fields"), VERSION), keep=[VERSION])
         else:
-            split = split_lines(numbered, keep=["value", VERSION])
-            kind = F.when(F.size("fields") < 1 + len(MOVIE_COLUMNS), "short").when(header_fields(F.col("fields")), "header")
-            told = _staged(split.withColumn("_kind", F.coalesce(kind, F.lit("row"))), "_kind")
+            told = _staged(told, "_kind")
             told.filter("_kind = 'short'").select("value").write.text(rejects_path)
             rows = named_fields(told.filter("_kind = 'row'"), keep=[VERSION])
         movies.upsert(rows, VERSION)
+    return seen.get
 
 
 def _staged(rows: DataFrame, tag: str) -> DataFrame:
@@ -113,12 +121,13 @@ def runtime_job(spark: SparkSession, movies: KeyedTable, result: KeyedTable) ->
 
 def genre_histogram(movies: DataFrame, column: str = "genres", name: str = "genre") -> DataFrame:
     """Films per genre, from JSON lists as they stand in the CSV file."""
-    filled = nonblank_rows(movies.select(column), column)
-    return exploded_counts(filled, json_names(unquote_field(column)), name)
+    return exploded_counts(movies, json_names(unquote_field(column)), name)
 
 
-def keyword_top100(movies: DataFrame, column: str = "keywords", name: str = "keyword") -> DataFrame:
-    """The most frequent keywords, ranked from 0."""
+def keyword_top100(movies: DataFrame, column: str = "keywords", name: str = "keyword", sketch: bool = False) -> DataFrame:
+    """The most frequent keywords, ranked from 0; with ``sketch`` by a way for very many distinct ones."""
+    if sketch:
+        return frequent(exploded(movies, json_names(unquote_field(column)), name), name)
     return top_counts(genre_histogram(movies, column, name), name)
 
 

@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.functions import unquote_field
+from reelframe.functions import key_bytes, key_number, unquote_field
 from reelframe.operators import (
     cell_listing,
     cells_to_wide,
     count_by,
+    row_index,
     upsert_cells,
     wide_to_cells,
 )
 from reelframe.registry.base import query, table
 from reelframe.registry.rows import event_lines
 from reelframe.schema import MOVIE_COLUMNS, ROW_KEY, VERSION
-from reelframe.session import scratch_path
+from reelframe.session import scratch_path, scratch_table
 from reelframe.sinks import KeyedTable, bulk_replace_sorted, write_csv
 from reelframe.sources import (
     cells_by_qualifier,
@@ -24,6 +25,7 @@ from reelframe.sources import (
     key_range,
     keyed_scan,
     read_lines,
+    read_records,
     row_count,
     scan_csv,
     scrub_lines,
@@ -74,7 +76,7 @@ def _(spark, sf_dir):
     return scan_csv(spark, path, [ROW_KEY, "kind", "props", "blank"])
 
 
-def quoted(column: Column) -> Column:
+def quoted(column: Column | str) -> Column:
     return F.concat(F.lit('"'), F.replace(column, F.lit('"'), F.lit('""')), F.lit('"'))
 
 
@@ -111,6 +113,28 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "csv_records",
+    """SELECT CAST(doc_id AS VARCHAR) AS row_key, text AS overview, lang AS original_language,
+              CAST(n_chars AS VARCHAR) AS runtime
+       FROM documents""",
+)
+def _(spark, sf_dir):
+    """Documents with all their line breaks as quoted fields of film records, scrubbed."""
+    fields = dict.fromkeys([ROW_KEY, *MOVIE_COLUMNS], F.lit("-"))
+    fields |= {
+        ROW_KEY: F.col("doc_id").cast("string"),
+        "overview": quoted("text"),
+        "original_language": F.col("lang"),
+        "runtime": F.col("n_chars").cast("string"),
+    }
+    path = scratch_path(spark, "records")
+    line = F.concat_ws(",", *fields.values(), F.lit(""))
+    table(spark, sf_dir, "documents").select(line.alias("value")).write.text(path)
+    scrubbed = scrub_lines(read_records(spark, path))
+    return scrubbed.select(ROW_KEY, "overview", "original_language", "runtime")
+
+
 @query(
     "csv_write",
     """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type || ', ' || user_id AS kind,
@@ -133,11 +157,36 @@ def _(spark, sf_dir):
 
 @query("keyed_scan", PART_TEXT_SQL + " ORDER BY row_key")
 def _(spark, sf_dir):
-    parts = KeyedTable(scratch_path(spark, "parts"), buckets=8)
+    parts = KeyedTable(scratch_table(spark, "parts"), buckets=8)
     parts.upsert(part_text(spark, sf_dir))
     return parts.scan(spark, ordered=True)
 
 
+@query(
+    "key_bytes_scan",
+    """SELECT row_number() OVER (ORDER BY key < 0, key) - 1 AS id, key, p_name
+       FROM (SELECT CASE WHEN p_partkey % 3 = 0 THEN -p_partkey ELSE p_partkey END AS key, p_name FROM part)""",
+)
+def _(spark, sf_dir):
+    """Whole-number keys, some below 0, in the order of their bytes."""
+    number = F.when(F.col("p_partkey") % 3 == 0, -F.col("p_partkey")).otherwise(F.col("p_partkey"))
+    parts = KeyedTable(scratch_table(spark, "parts"), key="key", buckets=8)
+    parts.replace(table(spark, sf_dir, "part").select(key_bytes(number).alias("key"), "p_name"))
+    numbered = row_index(parts.scan(spark), [F.col("key")])
+    return numbered.select("id", key_number("key").alias("key"), "p_name")
+
+
+#: Keys far from each other: the powers of two.
+SCATTERED = [str(2**i) for i in range(40)]
+
+
+@query("pick_keys", f"SELECT * FROM ({PART_TEXT_SQL}) WHERE row_key IN ({', '.join(map(repr, SCATTERED))})")
+def _(spark, sf_dir):
+    parts = KeyedTable(scratch_table(spark, "parts"), buckets=8)
+    parts.replace(part_text(spark, sf_dir))
+    return parts.pick(spark, SCATTERED)
+
+
 @query("cells_to_wide", PART_TEXT_SQL)
 def _(spark, sf_dir):
     cells = part_cells(spark, sf_dir).withColumn(VERSION, F.lit(1))
@@ -227,7 +276,7 @@ def _(spark, sf_dir):
 
 @query("upsert_table", REWRITTEN_SQL)
 def _(spark, sf_dir):
-    parts = KeyedTable(scratch_path(spark, "parts"), buckets=8)
+    parts = KeyedTable(scratch_table(spark, "parts"), buckets=8)
     parts.upsert(part_text(spark, sf_dir))
     parts.upsert(part_changes(spark, sf_dir))
     return parts.scan(spark)
@@ -241,7 +290,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
-    people = KeyedTable(scratch_path(spark, "people"), buckets=8)
+    people = KeyedTable(scratch_table(spark, "people"), buckets=8)
     key = F.col("c_custkey").cast("string").alias(ROW_KEY)
     people.upsert(
         customers.select(

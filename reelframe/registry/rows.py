@@ -27,6 +27,7 @@ from reelframe.operators import (
     project_columns,
     round_project,
     row_index,
+    share_labels,
     share_of_total,
     sort_desc,
     top_k,
@@ -384,21 +385,29 @@ def _(spark, sf_dir):
     return genre_histogram(parts, "genres", "name")
 
 
-@query(
-    "keyword_top100",
-    r"""
+KEYWORDS_SQL = r"""
     SELECT row_number() OVER (ORDER BY count DESC, keyword) - 1 AS id, keyword, count
     FROM (SELECT keyword, count(*) AS count
           FROM (SELECT unnest(regexp_split_to_array(lower(text), '\s+')) AS keyword FROM documents)
           WHERE keyword <> '' GROUP BY keyword)
     ORDER BY count DESC, keyword LIMIT 100
-    """,
-)
-def _(spark, sf_dir):
+    """
+
+
+def document_films(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of a document as a film's keywords."""
     words = F.filter(F.split(F.lower("text"), r"\s+"), lambda word: word != "")
-    films = table(spark, sf_dir, "documents").select(json_field(words).alias("keywords"))
-    return keyword_top100(films).select("id", "keyword", "count")
+    return table(spark, sf_dir, "documents").select(json_field(words).alias("keywords"))
+
+
+@query("keyword_top100", KEYWORDS_SQL)
+def _(spark, sf_dir):
+    return keyword_top100(document_films(spark, sf_dir)).select("id", "keyword", "count")
+
+
+@query("keyword_top100_sketch", KEYWORDS_SQL)
+def _(spark, sf_dir):
+    return keyword_top100(document_films(spark, sf_dir), sketch=True).select("id", "keyword", "count")
 
 
 @query(
@@ -410,6 +419,21 @@ def _(spark, sf_dir):
     return share_of_total(nonzero_counts(runtimes(spark, sf_dir), "runtime", MIN_LINES))
 
 
+@query(
+    "share_labels",
+    f"""
+    SELECT runtime, count, CAST(CAST(whole + CASE WHEN place <= 10000 - sum(whole) OVER () THEN 1 ELSE 0 END AS DECIMAL(18, 0))
+                                / 100 AS DECIMAL(18, 2)) || '' AS label
+    FROM (SELECT runtime, count, 10000 * count // total AS whole,
+                 row_number() OVER (ORDER BY 10000 * count % total DESC, runtime) AS place
+          FROM (SELECT *, sum(count) OVER () AS total FROM ({HISTOGRAM_SQL})))
+    """,
+)
+def _(spark, sf_dir):
+    """The percentages that a chart prints; they add up to 100.00."""
+    return share_labels(nonzero_counts(runtimes(spark, sf_dir), "runtime", MIN_LINES), "runtime")
+
+
 @query("preview", "SELECT p_partkey, p_name, p_size FROM part ORDER BY p_partkey LIMIT 20")
 def _(spark, sf_dir):
     rows = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")

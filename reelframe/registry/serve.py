@@ -29,7 +29,7 @@ from reelframe.schema import (
     RUNTIME_SLOTS,
     TOP_TITLES,
 )
-from reelframe.session import scratch_path
+from reelframe.session import scratch_path, scratch_table
 from reelframe.sinks import KeyedTable
 from reelframe.streaming import count_events, stream_files, write_counts
 
@@ -99,25 +99,38 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """The feed with as many slots as there are groups, and the usual number at least."""
     histogram = runtime_histogram(runtimes(spark, sf_dir), "runtime", MIN_LINES)
-    return runtime_chart(histogram, max(RUNTIME_SLOTS, histogram.count()))
+    return runtime_chart(histogram, RUNTIME_SLOTS, more=True)
 
 
-@query(
-    "stream_event_counts",
-    """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS count
-       FROM events GROUP BY 1, 2""",
-)
-def _(spark, sf_dir):
-    """The events dealt over four files, unordered in time, and read as three micro-batches."""
+def streamed(spark, events, **told):
+    """Counts of events that are read as several micro-batches."""
     path = scratch_path(spark, "event-counts")
-    table(spark, sf_dir, "events").repartition(4, "event_id").write.parquet(f"{path}/events")
-    result = KeyedTable(f"{path}/counts", buckets=4)
-    events = stream_files(spark, f"{path}/events", files_per_batch=2)
-    counts = count_events(events, "ts", "event_type")
+    events.write.parquet(f"{path}/events")
+    result = KeyedTable(scratch_table(spark, "counts"), buckets=4)
+    counts = count_events(stream_files(spark, f"{path}/events", files_per_batch=2), "ts", "event_type", **told)
     write_counts(counts, result, f"{path}/progress").awaitTermination()
-    return result.scan(spark).select(
-        F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "count"
-    )
+    return result.scan(spark).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "count")
+
+
+EVENT_COUNTS_SQL = """
+    SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS count FROM events GROUP BY 1, 2
+"""
+
+
+@query("stream_event_counts", EVENT_COUNTS_SQL)
+def _(spark, sf_dir):
+    """The events dealt over four files, unordered in time, and read as three micro-batches."""
+    return streamed(spark, table(spark, sf_dir, "events").repartition(4, "event_id"))
+
+
+@query("stream_repeated_events", EVENT_COUNTS_SQL)
+def _(spark, sf_dir):
+    """Every third event is sent again in another file; each counts once."""
+    events = table(spark, sf_dir, "events")
+    again = events.filter(F.col("event_id") % 3 == 0)
+    dealt = events.withColumn("_file", F.lit(0)).union(again.withColumn("_file", F.lit(1)))
+    files = dealt.repartition(4, "_file", F.col("event_id") % 2).drop("_file")
+    return streamed(spark, files, lateness="36500 days", event_id="event_id")
 
 
 def order_films(spark, sf_dir, changed: bool):
@@ -143,9 +156,8 @@ def order_films(spark, sf_dir, changed: bool):
 
 def run_twice(spark, sf_dir, job):
     """A job's result table after a run on the full films and another on the changed ones."""
-    path = scratch_path(spark, "job-twice")
-    movies = KeyedTable(f"{path}/movies", buckets=4)
-    result = KeyedTable(f"{path}/result", key="id", buckets=4)
+    movies = KeyedTable(scratch_table(spark, "movies"), buckets=4)
+    result = KeyedTable(scratch_table(spark, "result"), key="id", buckets=4)
     for changed in (False, True):
         movies.replace(order_films(spark, sf_dir, changed))
         job(spark, movies, result)
@@ -198,14 +210,46 @@ def _(spark, sf_dir):
 @query(
     "film_load",
     """
-    SELECT CAST(o_orderkey AS VARCHAR) AS row_key, o_orderpriority || ', "' || o_orderstatus || '"' AS original_title,
+    SELECT CAST(o_orderkey AS VARCHAR) AS row_key,
+           o_orderpriority || CASE WHEN o_orderkey % 5 = 1 THEN ',' || chr(10) ELSE ', ' END || '"' || o_orderstatus || '"'
+             AS original_title,
            CAST(o_custkey AS VARCHAR) AS popularity
-    FROM orders WHERE o_orderkey % 5 NOT IN (1, 2)
+    FROM orders WHERE o_orderkey % 5 <> 2
     """,
 )
 def _(spark, sf_dir):
-    """Raw lines with headers, torn records and short lines, scrubbed and loaded."""
+    """Raw records with headers, line breaks in fields and short lines, scrubbed and loaded."""
     path = scratch_path(spark, "film-load")
+    write_raw_films(spark, sf_dir, f"{path}/raw")
+    scrub_job(spark, f"{path}/raw", f"{path}/clean", f"{path}/torn")
+    movies = KeyedTable(scratch_table(spark, "movies"), buckets=4)
+    load_job(spark, f"{path}/clean", movies, f"{path}/rejects")
+    return movies.scan(spark).select(
+        ROW_KEY, unquote_field("original_title").alias("original_title"), "popularity"
+    )
+
+
+@query(
+    "load_counts",
+    """
+    SELECT unnest(['headers', 'loaded', 'rejected']) AS name,
+           unnest([count(*) FILTER (o_orderkey % 5 = 3), count(*) FILTER (o_orderkey % 5 <> 2),
+                   count(*) FILTER (o_orderkey % 5 = 2)]) AS records
+    FROM orders
+    """,
+)
+def _(spark, sf_dir):
+    """What the pass that loads raw records has seen."""
+    path = scratch_path(spark, "load-counts")
+    write_raw_films(spark, sf_dir, f"{path}/raw")
+    movies = KeyedTable(scratch_table(spark, "movies"), buckets=4)
+    seen = load_job(spark, f"{path}/raw", movies, f"{path}/rejects")
+    return spark.createDataFrame(sorted(seen.items()), "name string, records long")
+
+
+def write_raw_films(spark, sf_dir, path):
+    """Orders as raw film records: every fifth one has a line break in its title, another is short,
+    and another stands below a header line."""
     orders = table(spark, sf_dir, "orders")
     title = F.concat(F.col("o_orderpriority"), F.lit(', ""'), F.col("o_orderstatus"), F.lit('""'))
     fields = dict.fromkeys([ROW_KEY, *MOVIE_COLUMNS], F.lit("x"))
@@ -221,10 +265,4 @@ def _(spark, sf_dir):
     kind = F.col("o_orderkey") % 5
     line = F.when(kind == 1, torn).when(kind == 2, short).otherwise(full)
     lines = orders.select(F.explode(F.when(kind == 3, F.array(header, line)).otherwise(F.array(line))).alias("value"))
-    lines.write.text(f"{path}/raw")
-    scrub_job(spark, f"{path}/raw", f"{path}/clean", f"{path}/torn")
-    movies = KeyedTable(f"{path}/movies", buckets=4)
-    load_job(spark, f"{path}/clean", movies, f"{path}/rejects")
-    return movies.scan(spark).select(
-        ROW_KEY, unquote_field("original_title").alias("original_title"), "popularity"
-    )
+    lines.write.text(path)

@@ -23,15 +23,29 @@ def stream_files(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def count_events(events: DataFrame, time: str, kind: str, lateness: str | None = None) -> DataFrame:
+def count_events(
+    events: DataFrame, time: str, kind: str, lateness: str | None = None, event_id: str | None = None
+) -> DataFrame:
     """Events per UTC day and type, however the input is split into micro-batches.
 
     Rows are counted per task before the shuffle, so a frequent type is no hot spot, and the
     state is one number per day and type. ``lateness`` is for streams that never end: days
     that old, by the newest time seen, are closed, and rows for them are no longer counted.
+
+    With ``event_id`` an event that is sent again counts once: ids are kept in the state, spread over
+    tasks by the id, until the watermark is ``lateness`` past the event. So that many rows of time
+    bound the state, and an event repeated later than that, by event time, counts again. Events
+    without an id count each.
     """
-    timed = events.select(utc_timestamp(time).alias("_at"), kind)
+    columns = [kind, event_id] if event_id else [kind]
+    timed = events.select(utc_timestamp(time).alias("_at"), *columns)
     open_days = timed.withWatermark("_at", lateness) if lateness else timed
+    if event_id:
+        if not lateness:
+            raise ValueError("repeated events are told by id within a lateness: name one")
+        # No id is no repeat of another: such rows get an id of their own.
+        own = F.coalesce(F.concat(F.lit("="), F.col(event_id).cast("string")), F.uuid())
+        open_days = open_days.withColumn(event_id, own).dropDuplicatesWithinWatermark([event_id])
     counts = open_days.groupBy(F.window("_at", "1 day"), kind).agg(F.count(F.lit(1)).alias("count"))
     day = F.date_from_unix_date((F.unix_seconds("window.start") / SECONDS_PER_DAY).cast("int"))
     return counts.select(day.alias("day"), kind, "count")

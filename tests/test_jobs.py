@@ -14,6 +14,7 @@ from reelframe.plans import (
     scrub_job,
 )
 from reelframe.schema import MOVIE_COLUMNS
+from reelframe.session import scratch_table
 from reelframe.sinks import KeyedTable
 from reelframe.sources import inline_rows
 
@@ -51,7 +52,7 @@ def movies(spark, tmp_path_factory):
     lines.append(raw_line(300, popularity="999.5"))
     (folder / "raw.csv").write_bytes("\n".join(lines).encode("latin-1"))
     scrub_job(spark, str(folder / "raw.csv"), str(folder / "clean"))
-    table = KeyedTable(str(folder / "movies"), buckets=4)
+    table = KeyedTable(scratch_table(spark, "movies"), buckets=4)
     load_job(spark, str(folder / "clean"), table)
     return table
 
@@ -65,7 +66,7 @@ def test_load_keeps_full_rows_and_the_later_of_two(spark, movies):
 
 
 def test_popularity(spark, movies, tmp_path):
-    result = KeyedTable(str(tmp_path / "top"), key="id", buckets=1)
+    result = KeyedTable(scratch_table(spark, "top"), key="id", buckets=1)
     popularity_job(spark, movies, result)
     rows = result.scan(spark, ordered=True).collect()
     assert [r.id for r in rows] == list(range(10))
@@ -76,7 +77,7 @@ def test_popularity(spark, movies, tmp_path):
 
 
 def test_runtime(spark, movies, tmp_path):
-    result = KeyedTable(str(tmp_path / "runtime"), key="id", buckets=1)
+    result = KeyedTable(scratch_table(spark, "runtime"), key="id", buckets=1)
     runtime_job(spark, movies, result)
     rows = [tuple(r) for r in result.scan(spark, ordered=True).collect()]
     assert rows == [(0, "100", 100), (1, "90", 100)]
@@ -99,7 +100,7 @@ def test_genres_and_keywords(spark, movies):
 
 @pytest.mark.parametrize("leak", [False, True])
 def test_score(spark, movies, tmp_path, leak):
-    result = KeyedTable(str(tmp_path / "scores"), key="id", buckets=2)
+    result = KeyedTable(scratch_table(spark, "scores"), key="id", buckets=2)
     metrics = score_job(spark, movies, result, leak).first()
     scores = {r.id: r.vote_average for r in result.scan(spark).collect()}
     assert sorted(scores) == list(range(1001, 1301))
@@ -112,7 +113,7 @@ def test_rejects(spark, tmp_path):
     (tmp_path / "clean.csv").write_text(
         "\n".join(",".join(map(str, range(n))) for n in (21, 3, 25)), encoding="utf-8"
     )
-    table = KeyedTable(str(tmp_path / "t"))
+    table = KeyedTable(scratch_table(spark, "t"))
     with pytest.raises(Exception, match="too few fields: 0,1,2"):
         load_job(spark, str(tmp_path / "clean.csv"), table)
     load_job(spark, str(tmp_path / "clean.csv"), table, str(tmp_path / "rejects"))
@@ -126,34 +127,57 @@ def test_demo_rows(spark):
     assert rows[0].productName == "羊毛衫"
 
 
-def test_torn_records_fail_the_scrub_or_are_reported(spark, tmp_path):
-    torn = raw_line(2, original_title='"one\nrecord"')
-    (tmp_path / "raw.csv").write_bytes("\n".join([raw_line(1), torn, raw_line(3)]).encode("latin-1"))
+def test_records_with_line_breaks_are_whole(spark, tmp_path):
+    broken = raw_line(2, original_title='"one\nre""cord"', overview='"\r\n\n"')
+    lines = [raw_line(1), broken, raw_line(3), raw_line(1, popularity="5")]
+    (tmp_path / "raw.csv").write_bytes("\n".join(lines).encode("latin-1"))
+    scrub_job(spark, str(tmp_path / "raw.csv"), str(tmp_path / "ok"), str(tmp_path / "rejects"))
+    table = KeyedTable(scratch_table(spark, "t"))
+    seen = load_job(spark, str(tmp_path / "ok"), table)
+    assert seen["loaded"] == 4 and seen["rejected"] == 0
+    rows = {r.row_key: r for r in table.scan(spark).collect()}
+    assert sorted(rows) == ["1", "2", "3"]
+    assert rows["2"].original_title == '"one\nre""cord"' and rows["2"].overview == '"\r\n\n"'
+    assert rows["1"].popularity == "5"
+    assert spark.read.text(str(tmp_path / "rejects")).count() == 0
+
+
+def test_a_record_without_an_end_fails_the_scrub_or_is_reported(spark, tmp_path):
+    torn = raw_line(3, original_title='"no end\nof this')
+    (tmp_path / "raw.csv").write_bytes("\n".join([raw_line(1), raw_line(2), torn]).encode("latin-1"))
     with pytest.raises(Exception, match="odd number of quotes"):
         scrub_job(spark, str(tmp_path / "raw.csv"), str(tmp_path / "clean"))
     scrub_job(spark, str(tmp_path / "raw.csv"), str(tmp_path / "ok"), str(tmp_path / "rejects"))
-    table = KeyedTable(str(tmp_path / "t"))
+    table = KeyedTable(scratch_table(spark, "t"))
     load_job(spark, str(tmp_path / "ok"), table)
-    assert sorted(r.row_key for r in table.scan(spark).collect()) == ["1", "3"]
+    assert sorted(r.row_key for r in table.scan(spark).collect()) == ["1", "2"]
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "rejects")).collect()) == sorted(torn.split("\n"))
 
 
+def test_the_load_counts_what_it_sees(spark, tmp_path):
+    lines = [",".join(["key", *MOVIE_COLUMNS]), *[",".join([str(i), *["x"] * 20]) for i in range(30)], "too,short"]
+    (tmp_path / "clean.csv").write_text("\n".join(lines), encoding="utf-8")
+    table = KeyedTable(scratch_table(spark, "t"))
+    seen = load_job(spark, str(tmp_path / "clean.csv"), table, str(tmp_path / "rejects"))
+    assert seen == {"loaded": 30, "rejected": 1, "headers": 1}
+
+
 def test_rerun_leaves_nothing_of_the_run_before(spark, tmp_path):
     def films(name, *rows):
-        table = KeyedTable(str(tmp_path / name))
+        table = KeyedTable(scratch_table(spark, name))
         full = [(str(i), *[values.get(c) for c in MOVIE_COLUMNS]) for i, values in enumerate(rows)]
         schema = ", ".join(f"{c} string" for c in ["row_key", *MOVIE_COLUMNS])
         table.replace(spark.createDataFrame(full, schema))
         return table
 
-    top = KeyedTable(str(tmp_path / "top"), key="id", buckets=1)
+    top = KeyedTable(scratch_table(spark, "top"), key="id", buckets=1)
     first = [{"original_title": "X", "popularity": "9"}, {"original_title": "Y", "popularity": "4"}]
     popularity_job(spark, films("a", *first), top)
     second = [{"original_title": "X", "popularity": "9"}, {"original_title": "Z"}]
     popularity_job(spark, films("b", *second), top)
     assert [tuple(r) for r in top.scan(spark, ordered=True).collect()] == [(0, "X", 9.0), (1, "Z", None)]
 
-    histogram = KeyedTable(str(tmp_path / "h"), key="id", buckets=1)
+    histogram = KeyedTable(scratch_table(spark, "h"), key="id", buckets=1)
     runtime_job(spark, films("c", *[{"runtime": t} for t in ["80"] * 110 + ["90"] * 100]), histogram)
     runtime_job(spark, films("d", *[{"runtime": "90"}] * 100), histogram)
     assert [tuple(r) for r in histogram.scan(spark).collect()] == [(0, "90", 100)]

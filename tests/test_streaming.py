@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from reelframe.session import scratch_table
 from reelframe.sinks import KeyedTable
 from reelframe.streaming import count_events, stream_files, write_counts
 
@@ -22,8 +23,8 @@ def write_events(spark, path, name, events):
     frame.coalesce(1).write.parquet(f"{path}/{name}")
 
 
-def run(spark, source, out, progress, lateness=None, files=1000):
-    counts = count_events(stream_files(spark, f"{source}/*", files), "at", "kind", lateness)
+def run(spark, source, out, progress, lateness=None, files=1000, event_id=None):
+    counts = count_events(stream_files(spark, f"{source}/*", files), "at", "kind", lateness, event_id)
     table = KeyedTable(out, buckets=3)
     write_counts(counts, table, progress).awaitTermination()
     rows = table.scan(spark).collect()
@@ -31,7 +32,8 @@ def run(spark, source, out, progress, lateness=None, files=1000):
 
 
 def test_counts_grow_over_restarts_and_late_rows_drop(spark, zone, tmp_path):
-    source, out, progress = (str(tmp_path / p) for p in ("in", "out", "progress"))
+    source, progress = (str(tmp_path / p) for p in ("in", "progress"))
+    out = scratch_table(spark, "out")
     write_events(
         spark,
         source,
@@ -64,7 +66,7 @@ def test_totals_do_not_depend_on_micro_batches(spark, tmp_path, files):
     for i in (5, 0, 7, 2, 6, 1, 4, 3):
         events = [(f"2024-0{1 + (3 * i + j) % 8}-01T00:00:00", "xy"[j % 2]) for j in range(5)]
         write_events(spark, source, f"part{i}", events)
-    got = run(spark, source, str(tmp_path / "out"), str(tmp_path / "progress"), files=files)
+    got = run(spark, source, scratch_table(spark, "out"), str(tmp_path / "progress"), files=files)
     assert sum(got.values()) == 40
     expected = {}
     for i in range(8):
@@ -75,7 +77,8 @@ def test_totals_do_not_depend_on_micro_batches(spark, tmp_path, files):
 
 
 def test_paced_stream_picks_up_new_files(spark, tmp_path):
-    source, out, progress = (str(tmp_path / p) for p in ("in", "out", "progress"))
+    source, progress = (str(tmp_path / p) for p in ("in", "progress"))
+    out = scratch_table(spark, "out")
     write_events(spark, source, "a", [("2024-01-01T00:00:00", "x")])
     table = KeyedTable(out, buckets=2)
     counts = count_events(stream_files(spark, f"{source}/*"), "at", "kind")
@@ -96,3 +99,39 @@ def test_rows_are_counted_before_the_shuffle(spark, tmp_path):
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange") < plan.index("partial_count")
     assert counts.select(F.date_format("day", "yyyy-MM-dd")).first()[0] == "2024-01-01"
+
+
+def write_numbered(spark, path, name, events):
+    rows = [(i, dt.datetime.fromisoformat(at), kind) for i, at, kind in events]
+    frame = spark.createDataFrame(rows, "event_id long, at timestamp_ntz, kind string")
+    frame.coalesce(1).write.parquet(f"{path}/{name}")
+
+
+def test_repeated_events_count_once_over_batches_and_a_restart(spark, tmp_path):
+    """Events sent again in the same file, in another micro-batch and after a restart."""
+    source, progress = str(tmp_path / "in"), str(tmp_path / "progress")
+    out = scratch_table(spark, "out")
+    events = [(i, f"2024-0{1 + i % 4}-0{1 + i % 9}T0{i % 10}:00:00", "xyz"[i % 3]) for i in range(60)]
+    nameless = [(None, "2024-01-01T00:00:00", "x")] * 3
+    write_numbered(spark, source, "a", events[:40] + events[:10] + nameless)
+    write_numbered(spark, source, "b", events[20:50])
+
+    def totals(of):
+        found = {}
+        for _, at, kind in of:
+            found[at[:10], kind] = found.get((at[:10], kind), 0) + 1
+        return found
+
+    first = run(spark, source, out, progress, "3650 days", files=1, event_id="event_id")
+    assert first == totals(events[:50] + nameless)
+    write_numbered(spark, source, "c", events[::-1])
+    second = run(spark, source, out, progress, "3650 days", files=1, event_id="event_id")
+    assert second == totals(events + nameless)
+    batch = spark.read.parquet(f"{source}/*").where("event_id is not null").dropDuplicates(["event_id"])
+    assert sum(second.values()) == batch.count() + 3
+
+
+def test_repeats_need_a_lateness(spark, tmp_path):
+    write_numbered(spark, str(tmp_path / "in"), "a", [(1, "2024-01-01T00:00:00", "x")])
+    with pytest.raises(ValueError, match="lateness"):
+        count_events(stream_files(spark, str(tmp_path / "in/*")), "at", "kind", event_id="event_id")
