@@ -5,15 +5,16 @@ that do, best score first and leftmost among equal scores; taking one up joins i
 with its new neighbours on the agenda, and leaves pairs with symbols that are gone to be passed over.
 
 No merge crosses a border that lies inside no piece. So text is cut around characters that only
-occur as pieces of their own, and before each run of spaces if no piece has a space after another
-character; both are read off the vocabulary. Each part has an agenda of its own, whose result is
-kept for the next time the part is met.
+occur as pieces of their own, before each run of spaces if no piece has a space after another
+character, and between letters and others if no piece has both; all of this is read off the
+vocabulary. Each part has an agenda of its own, whose result is kept for the next time it is met.
 """
 
 from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import repeat
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from reelframe.llm.workers import map_rows
 
-#: Bytes that a task's memory of encoded parts may take; beyond, it is emptied and filled anew.
-MOST_BYTES = 96 * 2**20
+#: Bytes that a task's memory of encoded parts may take, about.
+MOST_BYTES = 192 * 2**20
 #: Parts of more characters are not kept, and their agenda is a heap.
 LONGEST_KEPT = 64
 NO_RANK = 1 << 40
@@ -88,18 +89,23 @@ class Vocabulary:
 
 
 class Parts(dict):
-    """Ids of the parts of texts, as the bytes of 32-bit numbers, made when first asked for."""
+    """Ids of the parts of texts, as the bytes of 32-bit numbers, made when first asked for. Half of
+    the bytes are for parts met of late; those met before are forgotten when that half is full again."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
         self.taken = 0
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        ids = np.array(self.make(part), np.int32).tobytes()
+        ids = self.older.get(part)
+        if ids is None:
+            ids = array("i", self.make(part)).tobytes()
         if len(part) <= LONGEST_KEPT:
             self.taken += 256 + 4 * len(part) + len(ids)
-            if self.taken > MOST_BYTES:
+            if self.taken > MOST_BYTES // 2:
+                self.older = dict(self)
                 self.clear()
                 self.taken = 0
             self[part] = ids
@@ -136,15 +142,22 @@ class Codec:
     def cuts(self) -> str:
         """A pattern of the parts of a text that no piece crosses the borders of."""
         joined = set().union(*(piece for piece in self.ids if len(piece) > 1)) - {SPACE}
-        letters = re.escape("".join(sorted(joined)))
-        if not joined or any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.ids):
-            return f"[{letters}{SPACE}]+|(?s:.)"
-        return f"{SPACE}+[{letters}]*|[{letters}]+|(?s:.)"
+        kinds = [sorted(c for c in joined if c.isalpha()), sorted(c for c in joined if not c.isalpha())]
+        if any(len({c.isalpha() for c in piece.replace(SPACE, "")}) > 1 for piece in self.ids):
+            kinds = [sorted(joined)]
+        runs = "|".join(f"[{re.escape(''.join(kind))}]+" for kind in kinds if kind)
+        if not runs or any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.ids):
+            return f"[{re.escape(''.join(sorted(joined)))}{SPACE}]+|(?s:.)"
+        return f"{SPACE}+(?:{runs})?|{runs}|(?s:.)"
 
     def merged(self, part: str) -> list[int]:
         """Ids of a part of a text."""
+        symbols = self.by_scan(part) if len(part) <= LONGEST_KEPT else self.by_heap(part)
+        found = list(map(self.ids.get, symbols))
+        if None not in found:
+            return found
         found = []
-        for symbol in self.by_scan(part) if len(part) <= LONGEST_KEPT else self.by_heap(part):
+        for symbol in symbols:
             number = self.ids.get(symbol)
             found += [number] if number is not None else [self.byte_ids[byte] for byte in symbol.encode()]
         return found
