@@ -8,6 +8,7 @@ is the mean of its windows' probabilities, weighted by their length.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,11 +25,10 @@ WINDOW = 256
 STRIDE = WINDOW - max(WIDTHS) + 1
 #: Windows that go through the network at once in a task: bounds its memory.
 BATCH = 128
-#: Most labelled documents and code points of each that the network is fitted on, in expectation.
+#: Most labelled documents that the network is fitted on, in expectation, and the windows that are
+#: drawn from all over each of their texts.
 SAMPLE_DOCUMENTS = 4_000
-SAMPLE_CHARACTERS = 600
-#: Most languages that are learned, the most frequent first.
-MOST_LANGUAGES = 500
+WINDOWS_A_TEXT = 3
 EPOCHS = 8
 RATE = 0.01
 UNKNOWN = "und"
@@ -39,10 +39,11 @@ PREDICTED = "doc_id long, lang_pred string, score double"
 class Network:
     """Filters of all widths are one matrix over the widest window, masked beyond their width."""
 
-    def __init__(self, languages: list[str], seed: int = 5):
+    def __init__(self, languages: list[str], rejecting: bool = False, seed: int = 5):
+        """With ``rejecting`` there is one more class, the last, of what is no learned language."""
         rng = np.random.default_rng(seed)
-        width, units = max(WIDTHS), FILTERS * len(WIDTHS)
-        self.languages = languages
+        width, units, classes = max(WIDTHS), FILTERS * len(WIDTHS), len(languages) + rejecting
+        self.languages, self.rejecting = languages, rejecting
         self.embedding = rng.normal(0, 0.5, (256, DIMENSIONS)).astype(np.float32)
         self.mask = np.zeros((width, DIMENSIONS, units), np.float32)
         for i, w in enumerate(WIDTHS):
@@ -50,8 +51,8 @@ class Network:
         self.mask = self.mask.reshape(width * DIMENSIONS, units)
         self.filters = (rng.normal(0, 0.2, self.mask.shape) * self.mask).astype(np.float32)
         self.bias = np.zeros(units, np.float32)
-        self.output = rng.normal(0, 0.2, (units, len(languages))).astype(np.float32)
-        self.output_bias = np.zeros(len(languages), np.float32)
+        self.output = rng.normal(0, 0.2, (units, classes)).astype(np.float32)
+        self.output_bias = np.zeros(classes, np.float32)
 
     def parameters(self) -> list[np.ndarray]:
         return [self.embedding, self.filters, self.bias, self.output, self.output_bias]
@@ -67,7 +68,7 @@ class Network:
         return (np.ascontiguousarray(spans).reshape(-1, spans.shape[2]) @ self.filters).reshape(len(spans), places, -1)
 
     def probabilities(self, windows: np.ndarray) -> np.ndarray:
-        out = np.empty((len(windows), len(self.languages)), np.float32)
+        out = np.empty((len(windows), len(self.output_bias)), np.float32)
         for start in range(0, len(windows), BATCH):
             hidden = self.pooled(self.spans(windows[start : start + BATCH])).max(axis=1)
             out[start : start + BATCH] = softmax(np.maximum(hidden + self.bias, 0) @ self.output + self.output_bias)
@@ -127,31 +128,80 @@ def held_out(modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def fit(labelled: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Network | None:
+#: Blocks of scripts from which strange text is made: first and last code points.
+SCRIPTS = [(0x400, 0x45F), (0x391, 0x3C9), (0x5D0, 0x5EA), (0x621, 0x64A), (0x905, 0x939), (0xE01, 0xE2E),
+           (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3)]
+
+
+def strange(windows: np.ndarray, seed: int = 13) -> np.ndarray:
+    """As many windows that are in no language, of two kinds in turn: random letters or digits in
+    words, and random characters of a script that the windows do not use. (Windows with their bytes in another order made the network take any
+    prose but that it was fitted on to be strange.)"""
+    rng = np.random.default_rng(seed)
+    used = "".join(w.tobytes().decode("utf-8", "ignore") for w in windows[:: max(1, len(windows) // 2000)])
+    scripts = [(a, b) for a, b in SCRIPTS if sum(a <= ord(c) <= b for c in used) < len(used) / 1000]
+    alphabets = ["0123456789abcdef", "0123456789", "bcdfghjklmnpqrstvwxz", "abcdefghijklmnopqrstuvwxyz",
+                 "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"]
+    made = np.zeros_like(windows)
+    for i in range(len(windows)):
+        if i % 2 == 0 or not scripts:
+            letters = alphabets[rng.integers(len(alphabets))]
+            drawn = [letters[k] for k in rng.integers(0, len(letters), WINDOW)]
+        else:
+            first, last = scripts[rng.integers(len(scripts))]
+            drawn = [chr(k) for k in rng.integers(first, last + 1, WINDOW)]
+        blank = rng.random(WINDOW) < rng.choice([0.0, 0.05, 0.15])
+        data = "".join(" " if gap else c for c, gap in zip(drawn, blank, strict=True)).encode()[:WINDOW]
+        made[i, : len(data)] = np.frombuffer(data, np.uint8)
+    return made
+
+
+def drawn_windows(sample: DataFrame) -> DataFrame:
+    """(lang, window): up to ``WINDOWS_A_TEXT`` windows of each text with a letter, from all over it."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            langs, found = [], []
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if text and any(map(str.isalpha, text)):
+                    windows, _ = windows_of(text.encode())
+                    rng = np.random.default_rng(zlib.crc32(text.encode()))
+                    chosen = rng.choice(len(windows), min(len(windows), WINDOWS_A_TEXT), replace=False)
+                    langs += [lang] * len(chosen)
+                    found += [windows[k].tobytes() for k in chosen]
+            yield {"lang": langs, "window": found}
+
+    return map_rows(sample.select("lang", "text"), task, "lang string, window binary")
+
+
+def fit(labelled: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS, rejecting: bool = False) -> Network | None:
     """A network fitted on a sample of (doc_id, text, lang), evenly from each language.
 
-    At most ``sample_documents`` documents are expected in the sample, chosen by a hash, and at
-    most ``SAMPLE_CHARACTERS`` code points of each, from a place that the hash chooses. None if
-    no row has a language.
+    At most ``sample_documents`` texts are expected in the sample, chosen by a hash of them, copies
+    of a text being one; windows are drawn from all over each. So the driver gets a few windows a
+    text, however long it is. With ``rejecting`` one more class is fitted on as many ``strange``
+    windows. None if no row has a language.
     """
     usable = labelled.where(F.col("lang").isNotNull())
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = usable.groupBy("lang").count().orderBy("lang").collect()  # a row for each language
     if not counts:
         return None
     each = sample_documents / len(counts)
     kept = F.lit(0.0)
     for row in counts:
         kept = F.when(F.col("lang") == row["lang"], min(1.0, each / row["count"])).otherwise(kept)
-    at = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1_000_000))
-    place = F.pmod(F.hash("doc_id"), F.greatest(F.length("text") - SAMPLE_CHARACTERS, F.lit(1))) + 1
-    part = F.substring(F.col("text"), place, F.lit(SAMPLE_CHARACTERS))
-    rows = usable.where(at / 1_000_000 < kept).select("lang", part.alias("text")).collect()
-    rows = sorted((row["lang"], row["text"] or "") for row in rows)
-    languages = sorted({row["lang"] for row in counts})
-    parts = [(windows_of(text.encode())[0], languages.index(lang)) for lang, text in rows if any(map(str.isalpha, text))]
-    network = Network(languages)
-    if parts:
-        network.train(np.concatenate([w for w, _ in parts]), np.concatenate([[y] * len(w) for w, y in parts]))
+    at = F.pmod(F.xxhash64("text", "lang"), F.lit(1_000_000))
+    sample = usable.where(at / 1_000_000 < kept).select("lang", "text").distinct()
+    rows = sorted((row["lang"], bytes(row["window"])) for row in drawn_windows(sample).collect())
+    languages = [row["lang"] for row in counts]
+    network = Network(languages, rejecting)
+    if rows:
+        windows = np.stack([np.frombuffer(window, np.uint8) for _, window in rows])
+        labels = np.array([languages.index(lang) for lang, _ in rows])
+        if rejecting:
+            odd = strange(windows)
+            windows, labels = np.concatenate([windows, odd]), np.concatenate([labels, np.full(len(odd), len(languages))])
+        network.train(windows, labels)
     return network
 
 
@@ -170,13 +220,15 @@ def means(network: Network, texts: list[str]) -> Iterator[np.ndarray]:
             waiting = []
 
 
-def predict(network: Network | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
-    """Languages and scores of a batch of texts."""
+def predict(network: Network | None, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+    """Of each text of a batch the language, its score, and the score of the rejecting class."""
     known = [i for i, text in enumerate(texts) if network is not None and text and any(map(str.isalpha, text))]
-    named, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    named, scores, strangeness = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
     for i, mean in zip(known, means(network, [texts[i] for i in known]), strict=True):
-        named[i], scores[i] = network.languages[int(mean.argmax())], min(1.0, float(mean.max()))
-    return named, scores
+        own = mean[: len(network.languages)]
+        named[i], scores[i] = network.languages[int(own.argmax())], min(1.0, float(own.max()))
+        strangeness[i] = float(mean[-1]) if network.rejecting else 0.0
+    return named, scores, strangeness
 
 
 def identify(docs: DataFrame, network: Network | None) -> DataFrame:
@@ -189,14 +241,15 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            named, scores = predict(network, batch.column(1).to_pylist())
+            named, scores, _ = predict(network, batch.column(1).to_pylist())
             yield {"doc_id": batch.column(0), "lang_pred": named, "score": scores}
 
     return map_rows(docs.select(docs["doc_id"].cast("long"), "text"), task, PREDICTED)
 
 
-def accepted(docs: DataFrame, network: Network | None, least_score: float = 0.5) -> DataFrame:
-    """The documents, all columns, whose language is learned and scored ``least_score`` or more.
+def accepted(docs: DataFrame, network: Network | None, most_strange: float = 0.5) -> DataFrame:
+    """The documents, all columns, that a rejecting network takes to be in one of its languages: no
+    more than ``most_strange`` of their windows, weighted, go to the class of what is in none.
 
     Rows without a letter go, whatever else they hold. No shuffle and no join: rows pass as they are.
     """
@@ -205,7 +258,8 @@ def accepted(docs: DataFrame, network: Network | None, least_score: float = 0.5)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            named, scores = predict(network, batch.column(place).to_pylist())
-            yield batch.filter(pa.array([n != UNKNOWN and s >= least_score for n, s in zip(named, scores, strict=True)], pa.bool_()))
+            named, _, strangeness = predict(network, batch.column(place).to_pylist())
+            kept = [n != UNKNOWN and s <= most_strange for n, s in zip(named, strangeness, strict=True)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -21,7 +21,7 @@ def test_each_stage_against_brute_force(spark, small_tables, documents, tmp_path
     before, after = seen["language"]
     assert {r.doc_id for r in before} == {r.doc_id for r in after}
     before, after = seen["near_duplicates"]
-    wanted = groups({r.doc_id: shingles(r.text) for r in before})
+    wanted = groups({r.doc_id: shingles(r.text) for r in before}, corpus_pipeline.NEAR_PERCENT)
     assert {r.doc_id for r in after} == set(wanted.values()) and len(after) < len(before)
     before, after = seen["decontaminate"]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{small_tables}/benchmark.parquet").collect()]
@@ -49,6 +49,25 @@ def test_odd_rows_go_through_all_stages(spark, odd_docs, no_docs, small_tables,
         assert docs.count() == (len({1, 5, 6, 7, 10, None}) if name == "odd" else 0)
 
 
+def test_strange_texts_go_and_mixed_ones_stay(spark, documents, small_tables):
+    """Text in scripts that no language uses, and junk with letters, against prose of two languages."""
+    import random
+
+    rng = random.Random(1)
+    prose = {r.lang: r.text for r in documents.orderBy("n_chars").collect() if 400 < r.n_chars < 900}
+    strange = [
+        "Съешь же ещё этих мягких французских булок, да выпей чаю. " * 5,
+        "いろはにほへと ちりぬるを 我が世誰ぞ 常ならむ。" * 6,
+        " ".join(f"{rng.getrandbits(32):08x}" for _ in range(60)),
+        " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)) for _ in range(50)),
+    ]
+    mixed = [a + " " + b for a in prose.values() for b in prose.values() if a < b]
+    rows = [(100_000 + i, text) for i, text in enumerate(strange)] + [(200_000 + i, text) for i, text in enumerate(mixed)]
+    more = spark.createDataFrame([(i, text, None, None, len(text)) for i, text in rows], documents.schema)
+    left = {r.doc_id for r in corpus_pipeline.language(spark, documents.union(more), small_tables).collect()}
+    assert left == {r.doc_id for r in documents.collect()} | {200_000 + i for i in range(len(mixed))}
+
+
 def test_near_duplicates_from_80_percent_on(spark, documents, small_tables):
     """Copies with one to eight edits each; some pairs lie between 0.80 and 0.85."""
     rows = []
@@ -68,6 +87,6 @@ def test_near_duplicates_from_80_percent_on(spark, documents, small_tables):
 
 def test_registered():
     assert "pipeline" in entry_module.queries() and corpus_pipeline.ORACLE_SQL is None
-    assert [f"op{i}_" for i in range(1, 11)] == [name[: name.index("_") + 1] for name in sorted(
+    assert [f"op{i}_" for i in range(1, 14)] == [name[: name.index("_") + 1] for name in sorted(
         (n for n in entry_module.queries() if n.startswith("op")), key=lambda n: int(n[2 : n.index("_")]))]
     assert len(sentence(1, 5).split()) == 5
