@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 from reelframe.llm import bpe, decontamination, langid, neardup, pii
 from reelframe.session import scratch_path
 
-#: Documents whose language the network gives a smaller probability are rejected.
-LEAST_LANGUAGE_SCORE = 0.35
+#: Documents of which the network takes a larger share to be in no learned language are rejected.
+MOST_STRANGE = 0.6
 #: Jaccard similarity of whole sets of 5-word shingles, in percent, from which documents are near copies.
 NEAR_PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters and those of no learned language."""
-    return langid.accepted(docs, langid.fit(docs), LEAST_LANGUAGE_SCORE)
+    return langid.accepted(docs, langid.fit(docs, rejecting=True), MOST_STRANGE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
