@@ -17,8 +17,9 @@ and made again, which costs time but changes nothing.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
-from itertools import chain
+import codecs
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,10 @@ MOST_STATES = 150_000
 MOST_BORDERS = 500_000
 MOST_PIECES = 500_000
 MOST_STEPS = 300_000
+#: Longer pieces are not remembered, so that what is remembered is bounded in bytes too.
+LONGEST_KEPT = 64
+#: Tokens that are decoded at a time.
+CHUNK = 8192
 
 NO_RANK = 1 << 40
 
@@ -192,19 +197,21 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        if len(self.states) > MOST_STATES:
-            self.start_anew()
         moves = self.moves
-        found: tuple[int, ...] = ()
+        found: list[int] = []
         number = 0
         for byte in piece:
             step = moves.get(number << 8 | byte)
             if step is None:
                 step = moves[number << 8 | byte] = self._move(number, byte)
+                if len(self.states) > MOST_STATES:
+                    state = self.states[step[0]]
+                    self.start_anew()
+                    moves, step = self.moves, (self._number(state), step[1])
             number, out = step
             if out:
                 found += out
-        return found + self.states[number][1][-1][1]
+        return (*found, *self.states[number][1][-1][1])
 
 
 def unfinished(data: bytes) -> int:
@@ -251,6 +258,28 @@ class Utf8Decoder:
         if state:
             yield state.decode("utf-8", "replace")
 
+    def chunks(self, ids: list[int], size: int = CHUNK) -> Iterator[str]:
+        """The same text, many tokens at a time: the same state machine over bytes, run by Python's own
+        incremental decoder, which keeps an unfinished character from one chunk to the next."""
+        machine = codecs.getincrementaldecoder("utf-8")("replace")
+        for at in range(0, len(ids), size):
+            yield machine.decode(b"".join(map(self.bytes_of.__getitem__, ids[at : at + size])))
+        yield machine.decode(b"", final=True)
+
+
+class Pieces(Memory):
+    """Ids of pieces of text, as the bytes of 32-bit numbers, made when first asked for."""
+
+    def __init__(self, most: int, encode: Callable[[bytes], tuple[int, ...]]):
+        super().__init__(most)
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        known = self.older.get(piece)
+        if known is None:
+            known = array("i", self.encode(piece.encode())).tobytes()
+        return self.keep(piece, known) if len(piece) <= LONGEST_KEPT else known
+
 
 class Codec:
     """A vocabulary with the pattern that splits text before merging."""
@@ -259,20 +288,17 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self.transducer = Transducer(ranks)
         self.decoder = Utf8Decoder(self.transducer.bytes_of)
-        self.pieces = Memory(MOST_PIECES)
+        self.pieces = Pieces(MOST_PIECES, self.transducer.encode)
+
+    def numbers(self, text: str) -> np.ndarray:
+        """Token ids; known pieces are looked up and joined without a Python loop."""
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text))), np.int32)
 
     def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        pieces = self.pieces
-        for piece in self.split(text):
-            known = pieces.get(piece)
-            if known is None and (known := pieces.recall(piece)) is None:
-                known = pieces.keep(piece, self.transducer.encode(piece.encode()))
-            ids += known
-        return ids
+        return self.numbers(text).tolist()
 
     def decode(self, ids) -> str:
-        return "".join(self.decoder.decode(ids))
+        return "".join(self.decoder.chunks(ids.tolist() if isinstance(ids, np.ndarray) else ids))
 
 
 _codecs: dict[tuple[str, str], Codec] = {}
@@ -296,9 +322,9 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         codec = codec_for(ranks_path, pattern)
         for batch in batches:
-            lists = [codec.encode(text or "") for text in batch.column(1).to_pylist()]
+            lists = [codec.numbers(text.as_py() or "") for text in batch.column(1)]
             offsets = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-            flat = np.fromiter(chain.from_iterable(lists), np.int32, offsets[-1])
+            flat = np.concatenate(lists) if lists else np.zeros(0, np.int32)
             yield {
                 "doc_id": batch.column(0),
                 "ids": pa.ListArray.from_arrays(offsets, flat),
