@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 SHINGLE = 5
-KNOWN_WORDS = 1 << 19
+KNOWN_WORDS = 1 << 17
 
 P = np.uint64(0x9E3779B97F4A7C15)
 
