@@ -15,13 +15,26 @@ MOST_STRANGE = 0.6
 NEAR_PERCENT = 80
 
 
+#: Rows in a batch that goes to Python or comes back. Rows are whole texts here, so Spark's own number
+#: of rows makes batches of tens of megabytes, a few of them for each task at a time.
+BATCH_ROWS = 1_000
+
+
+def batches_of_texts(spark: SparkSession) -> None:
+    """Set the session's batches to ``BATCH_ROWS`` rows, unless they are smaller."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(setting, str(min(BATCH_ROWS, int(spark.conf.get(setting)))))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters and those of no learned language."""
+    batches_of_texts(spark)
     return langid.accepted(docs, langid.fit(docs, rejecting=True), MOST_STRANGE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies."""
+    batches_of_texts(spark)
     return neardup.deduplicated(docs, NEAR_PERCENT)
 
 
@@ -37,6 +50,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, with digests of the ids and of what they decode to."""
+    batches_of_texts(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode_decode(docs, ranks, public_tokenizers.PATTERN)
     return encoded.select("doc_id", "ids", *bpe.digests())
