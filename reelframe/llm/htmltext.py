@@ -10,7 +10,8 @@ from __future__ import annotations
 import html
 import random
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -33,7 +34,7 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
     "thead tr ul option select title".split()
 )
-RAW = frozenset("script style template noscript iframe object svg math textarea title".split())
+RAW = frozenset("script style template noscript iframe svg title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY_LIKE = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -56,42 +57,68 @@ EXTRACTED = "page_id long, url string, text string"
 
 @dataclass
 class Block:
+    """A piece of text, the names of all elements around it and of the nearest that starts a block,
+    the words in their class names and ids, those of the nearest that has any, and the share of its
+    text that is linked."""
+
     text: str
-    above: tuple[str, ...]
+    above: frozenset[str]
+    holder: str
     names: frozenset[str]
     inner: frozenset[str]
     linked: float
 
 
+class Element:
+    """An open element. What is above it is shared with the element around it unless it adds something,
+    so that deep pages take memory in proportion to their length."""
+
+    __slots__ = ("name", "above", "holder", "names", "inner")
+
+    def __init__(self, name: str, words: frozenset[str], around: Element | None):
+        self.name = name
+        above, names = (around.above, around.names) if around else (NOTHING, NOTHING)
+        self.above = above if name in above else above | {name}
+        self.names = names if words <= names else names | words
+        self.inner = words or (around.inner if around else NOTHING)
+        self.holder = name if name in BLOCKS else around.holder if around else "none"
+
+
+NOTHING: frozenset[str] = frozenset()
+
+
 def blocks_of(page: str) -> list[Block]:
     """Leaf blocks of a page in order, with their character references decoded and their white
     space collapsed. An unfinished tag at the end is dropped; missing end tags are implied."""
     blocks: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    stack: list[Element] = []
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     linked, at = 0, 0
-    place: tuple | None = None
+    place: Element | None = None
+    placed = False
 
     def close() -> None:
-        nonlocal linked, place
+        nonlocal linked, placed
         text = " ".join("".join(parts).split())
-        if text and place is not None:
-            names = frozenset().union(*(found for _, found in place))
-            inner = next((found for _, found in reversed(place) if found), frozenset())
-            blocks.append(Block(text, tuple(name for name, _ in place), names, inner, linked / len(text)))
+        if text and placed:
+            around = (place.above, place.holder, place.names, place.inner) if place else (NOTHING, "none", NOTHING, NOTHING)
+            blocks.append(Block(text, *around, linked / len(text)))
         parts.clear()
-        linked, place = 0, None
+        linked, placed = 0, False
 
     def add(raw: str) -> None:
-        nonlocal linked, place
+        nonlocal linked, place, placed
         text = html.unescape(raw)
         if text.strip():
-            place = tuple(stack) if place is None else place
-            if any(name == "a" for name, _ in stack):
+            if not placed:
+                place, placed = stack[-1] if stack else None, True
+            if opened["a"]:
                 linked += len(text.strip())
         parts.append(text)
 
     def pop_to(depth: int) -> None:
+        opened.subtract(element.name for element in stack[depth:])
         del stack[depth:]
 
     while at < len(page):
@@ -108,10 +135,8 @@ def blocks_of(page: str) -> list[Block]:
         if name in BLOCKS or name in RAW:
             close()
         if match[1] or match[4]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    pop_to(depth)
-                    break
+            if opened[name]:
+                pop_to(next(depth for depth in range(len(stack) - 1, -1, -1) if stack[depth].name == name))
             continue
         attributes = match[3] or match[6] or ""
         if name in RAW:
@@ -123,21 +148,21 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID or attributes.endswith("/"):
             continue
         if name in BLOCKS:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == "p":
-                    pop_to(depth)
-                    break
-                if stack[depth][0] in BLOCKS:
-                    break
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] in SCOPES:
-                    break
-                if stack[depth][0] in CLOSED_BY_LIKE.get(name, ()):
-                    pop_to(depth)
-                    break
+            # A paragraph is only closed if it is what the new element would stand in.
+            if opened["p"] and stack[-1].holder == "p":
+                pop_to(next(depth for depth in range(len(stack) - 1, -1, -1) if stack[depth].name == "p"))
+            likes = CLOSED_BY_LIKE.get(name, ())
+            if any(opened[like] for like in likes):
+                for depth in range(len(stack) - 1, -1, -1):
+                    if stack[depth].name in SCOPES:
+                        break
+                    if stack[depth].name in likes:
+                        pop_to(depth)
+                        break
         if name in BLOCKS or name in KEPT_INLINE:
             found = {token for groups in NAMES.findall(attributes) for token in TOKENS.findall("".join(groups).lower())}
-            stack.append((name, frozenset(found)))
+            stack.append(Element(name, frozenset(found), stack[-1] if stack else None))
+            opened[name] += 1
     close()
     return blocks
 
@@ -156,8 +181,7 @@ def features(block: Block, index: int, count: int) -> list[str]:
     if NOTICE_WORDS.search(block.text) and words < 30:
         found.add("speaks of the site")
     found.add("first" if index == 0 else "last" if index == count - 1 else "between")
-    holder = next((name for name in reversed(block.above) if name in BLOCKS), "none")
-    found.add(f"held by {holder}")
+    found.add(f"held by {block.holder}")
     found.add("bias")
     return sorted(found)
 
@@ -261,6 +285,11 @@ def labels_of(blocks: list[Block]) -> list[int] | None:
     ]
 
 
+def holder_of(path: Sequence[str]) -> str:
+    """The nearest element of a path that starts a block."""
+    return next((name for name in reversed(path) if name in BLOCKS), "none")
+
+
 def composed(main: list[str], rest: list[str], seed: int) -> tuple[list[Block], list[int]]:
     """A labelled page of other markup, from texts whose labels are known."""
     rng = random.Random(seed)
@@ -280,13 +309,13 @@ def composed(main: list[str], rest: list[str], seed: int) -> tuple[list[Block],
             linked = 1.0 if rng.random() < 0.4 else 0.0
             for _ in range(rng.randint(1, 1 if within else 4)):
                 text = rng.choice(main if rng.random() < 0.4 else rest) if rest else rng.choice(main)
-                blocks.append(Block(text, path, own | (names if inside else frozenset()), own or (names if inside else own), linked))
+                blocks.append(Block(text, frozenset(path), holder_of(path), own | (names if inside else frozenset()), own or (names if inside else own), linked))
                 labels.append(0)
 
     around(rng.randint(1, 4))
     for i, text in enumerate(main):
         tag = "h1" if i == 0 else rng.choice(["p", "p", "p", "p", "li", "h2", "blockquote", "pre"])
-        blocks.append(Block(text, (*above, tag), names, names, 0.0))
+        blocks.append(Block(text, frozenset((*above, tag)), tag, names, names, 0.0))
         labels.append(1)
         if i and rng.random() < 0.15:
             around(1, within=True)
@@ -294,13 +323,22 @@ def composed(main: list[str], rest: list[str], seed: int) -> tuple[list[Block],
     return blocks, labels
 
 
+#: A page that may mark its article.
+MARKED = "(?i)<(article|main)[\\s>/]"
+
+
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Field:
-    """A field fitted on about ``sample_pages`` pages chosen by a hash whose article is marked,
-    and as many pages composed of their texts in other markup. Half of the former hide the
-    article tag, so that text and other names are learned too."""
-    share = min(1.0, sample_pages / max(pages.count(), 1))
-    part = F.pmod(F.xxhash64("page_id", "url"), F.lit(1_000_000)) / 1_000_000
-    rows = pages.where((part < share) & F.col("html").isNotNull()).select("page_id", "html").collect()
+    """A field fitted on about ``sample_pages`` pages whose article is marked, chosen by a hash of
+    what they hold, copies being one, and as many pages composed of their texts in other markup.
+    Half of the former hide the article tag, so that text and other names are learned too.
+
+    A table whose pages mark no article, but hold text, is refused: there is nothing to learn from,
+    and all its texts would be empty.
+    """
+    marked = pages.where(F.col("html").rlike(MARKED))
+    share = min(1.0, sample_pages / max(marked.count(), 1))
+    part = F.pmod(F.xxhash64("html"), F.lit(1_000_000)) / 1_000_000
+    rows = marked.where(part < share).groupBy("html").agg(F.min(F.col("page_id").cast("long")).alias("page_id")).collect()
     training = []
     for number, row in enumerate(sorted(rows, key=lambda row: (row["page_id"] or 0, row["html"]))):
         blocks = blocks_of(row["html"])
@@ -310,10 +348,13 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Field:
         main = [b.text for b, y in zip(blocks, labels, strict=True) if y]
         rest = [b.text for b, y in zip(blocks, labels, strict=True) if not y]
         if number % 2:
-            blocks = [replace(b, above=tuple(t for t in b.above if t not in CONTAINERS)) for b in blocks]
+            hidden = {"holder": "div"}
+            blocks = [replace(b, above=b.above - CONTAINERS, **(hidden if b.holder in CONTAINERS else {})) for b in blocks]
         training.append((blocks, labels))
         if main:
             training.append(composed(main, rest, number))
+    if not training and not pages.where(F.col("html").rlike(r"[^\s<>][^<>]*(<|$)")).isEmpty():
+        raise ValueError("no page marks its article: there is nothing to learn main text from")
     field = Field()
     field.train([([features(b, i, len(blocks)) for i, b in enumerate(blocks)], labels) for blocks, labels in training])
     return field

@@ -89,6 +89,8 @@ def test_best_labelling_is_the_best_of_all(field):
         ("<p title='a > b'>quoted</p></div></p>after", ["quoted", "after"]),
         ("<script>never closed", []),
         ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", ["a", "b", "c", "d"]),
+        ("<p>Let <math>x</math> be <object>shown</object> and <textarea>kept</textarea>", ["Let x be shown and kept"]),
+        ("<p>a<b>b<div>c</div>d</p>e", ["ab", "c", "d", "e"]),
     ],
 )
 def test_blocks(page, texts):
@@ -106,3 +108,38 @@ def test_odd_rows(spark, field):
     none = odd.limit(0)
     assert htmltext.extract(none, htmltext.fit(none)).collect() == []
     assert {r.text for r in htmltext.extract(odd, htmltext.fit(none)).collect()} == {""}
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "li", "p", "a", "div class=x"])
+def test_deep_pages_take_linear_time_and_memory(tag):
+    import time
+    import tracemalloc
+
+    def cost(depth):
+        page = f"<{tag}>word " * depth
+        tracemalloc.start()
+        began = time.perf_counter()
+        blocks = htmltext.blocks_of(page)
+        taken, most = time.perf_counter() - began, tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert "".join(b.text for b in blocks).count("word") == depth
+        return taken, most
+
+    (small, less), (large, more) = cost(5_000), cost(50_000)
+    assert more < 20 * less and large < 40 * small + 1
+
+
+def test_pages_without_any_article(spark):
+    rows = [(i, "u", f"<div><p>text number {i}</p></div>") for i in range(20)]
+    with pytest.raises(ValueError, match="no page marks its article"):
+        htmltext.fit(spark.createDataFrame(rows, "page_id long, url string, html string"))
+
+
+def test_articles_are_found_however_rare(spark, pages):
+    """Two pages in hundreds mark their article, and rows without ids do not fill the sample."""
+    plain = pages.selectExpr("cast(null as long) page_id", "url", "regexp_replace(html, '(?i)</?(article|main)\\b', '<div') html")
+    few = pages.orderBy("page_id").limit(2)
+    field = htmltext.fit(plain.union(few), sample_pages=50)
+    assert field.weights
+    blocks, labels = htmltext.composed(["A title", "One sentence of a text.", "Another sentence of it."], ["Menu", "Home"], 3)
+    assert len(field.decode([htmltext.features(b, i, len(blocks)) for i, b in enumerate(blocks)])) == len(labels)
