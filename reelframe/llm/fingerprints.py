@@ -18,6 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelframe.llm.shingles import mixed
 from reelframe.llm.workers import map_rows
 
 COORDINATES = 64
@@ -26,6 +27,9 @@ KNOWN_WORDS = 40_000
 #: Words of one text that are sampled at a time: bounds memory for very long texts.
 WORDS_AT_ONCE = 4_096
 
+#: Rows in a range of ids, about, where the session's number of partitions would make it larger.
+ROWS_A_RANGE = 200_000
+
 FINGERPRINTED = "doc_id long, fingerprint string"
 PAIRED = (
     "doc_id long, text string, edited string, fingerprint string, edited_fingerprint string, "
@@ -33,13 +37,6 @@ PAIRED = (
 )
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finalizer: every input bit moves every output bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def variates(hashes: np.ndarray, coordinates: int) -> np.ndarray:
     """r, ln c and b of words and coordinates: (words, 3, coordinates)."""
     lanes = mixed(np.arange(1, 5 * coordinates + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -51,12 +48,18 @@ def variates(hashes: np.ndarray, coordinates: int) -> np.ndarray:
     return np.stack([r, np.log(c), u[:, 4]], axis=1).astype(np.float32)
 
 
+def log_a(r: np.ndarray, log_c: np.ndarray, b: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """What the least of decides a coordinate."""
+    return log_c - r * (t - b) - r
+
+
 class Sampler:
     def __init__(self, coordinates: int = COORDINATES):
         self.coordinates = coordinates
         self.rows: dict[str, int] = {}
         self.hashes = np.zeros(KNOWN_WORDS, np.uint64)
         self.known = np.zeros((KNOWN_WORDS, 3, coordinates), np.float32)
+        self.once = np.zeros((KNOWN_WORDS, coordinates), np.float32)
 
     def _places(self, words: list[str]) -> np.ndarray:
         new = [word for word in words if word not in self.rows]
@@ -65,11 +68,12 @@ class Sampler:
             new = words
         if new:
             start = len(self.rows)
-            hashes = np.fromiter((xxhash.xxh3_64_intdigest(word.encode()) for word in new), np.uint64, len(new))
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, map(str.encode, new)), np.uint64, len(new))
             self.hashes[start : start + len(new)] = hashes
-            self.known[start : start + len(new)] = variates(hashes, self.coordinates)
+            self.known[start : start + len(new)] = drawn = variates(hashes, self.coordinates)
+            self.once[start : start + len(new)] = log_a(drawn[:, 0], drawn[:, 1], drawn[:, 2], np.floor(drawn[:, 2]))
             self.rows.update(zip(new, range(start, start + len(new)), strict=True))
-        return np.fromiter((self.rows[word] for word in words), np.int64, len(words))
+        return np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
 
     def sample(self, text: str) -> np.ndarray:
         """The coordinates of a whole text; all zero if it has no word."""
@@ -77,17 +81,21 @@ class Sampler:
         best = np.full(self.coordinates, np.inf, np.float32)
         kept = np.zeros(self.coordinates, np.uint32)
         every = np.arange(self.coordinates)
-        words = list(counts)
+        words, numbers = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
         for start in range(0, len(words), WORDS_AT_ONCE):
             part = words[start : start + WORDS_AT_ONCE]
             places = self._places(part)
-            weights = np.log(np.fromiter((counts[word] for word in part), np.float64, len(part))).astype(np.float32)
-            r, log_c, b = (self.known[places, i] for i in range(3))
-            t = np.floor(weights[:, None] / r + b)
-            log_a = log_c - r * (t - b) - r
-            least = log_a.argmin(axis=0)
-            value = log_a[least, every]
-            steps = t[least, every].astype(np.int64).astype(np.uint64)
+            seen = numbers[start : start + WORDS_AT_ONCE]
+            weights = np.log(seen.astype(np.float64)).astype(np.float32)
+            # What a word that occurs once gives does not depend on the text.
+            found = self.once[places]
+            again = np.flatnonzero(seen > 1)
+            r, log_c, b = (self.known[places[again], i] for i in range(3))
+            found[again] = log_a(r, log_c, b, np.floor(weights[again, None] / r + b))
+            least = found.argmin(axis=0)
+            value = found[least, every]
+            r, _, b = (self.known[places[least], i, every] for i in range(3))
+            steps = np.floor(weights[least] / r + b).astype(np.int64).astype(np.uint64)
             codes = mixed(self.hashes[places[least]] ^ (steps * np.uint64(0x9E3779B97F4A7C15)))
             better = value < best
             best[better] = value[better]
@@ -130,7 +138,7 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     goes to the range before it. A single document is its own next; an empty table gives no row.
     """
     spark = docs.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // ROWS_A_RANGE)
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     shares = [i / ranges for i in range(1, ranges)] or [0.5]
     cuts = np.unique(ids.agg(F.percentile_approx("doc_id", shares, 10 * ranges)).first()[0] or [])
