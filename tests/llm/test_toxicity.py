@@ -69,3 +69,20 @@ def test_odd_rows(spark, odd_docs, no_docs):
     empty = toxicity.fit(no_docs, labels.limit(0))
     assert {r.score for r in toxicity.score(odd_docs, empty).collect()} == {0.5}
     assert toxicity.score(no_docs, machine).collect() == []
+
+
+def test_margins_against_plain_loops():
+    """Every pair of terms by itself, where the operator uses squares of sums."""
+    rng = np.random.default_rng(4)
+    machine = toxicity.Machine()
+    machine.intercept = 0.3
+    machine.linear[:] = rng.normal(0, 1, len(machine.linear))
+    machine.factors[:] = rng.normal(0, 1, machine.factors.shape)
+    texts = [rng.choice(len(machine.linear), size, replace=False) for size in (0, 1, 2, 7, 30)]
+    found = machine.margins(np.concatenate(texts), np.cumsum([0, *map(len, texts)]))
+    for terms, margin in zip(texts, found, strict=True):
+        wanted = machine.intercept + sum(float(machine.linear[t]) for t in terms)
+        for i, a in enumerate(terms):
+            for b in terms[i + 1 :]:
+                wanted += sum(float(x) * float(y) for x, y in zip(machine.factors[a], machine.factors[b], strict=True))
+        assert abs(margin - wanted) < 1e-3 * max(1.0, abs(wanted))
