@@ -19,12 +19,25 @@ MOST_BROADCAST_ROWS = 2_000_000
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 
 
+#: Settings of the allocators in Python workers: large arrays, such as those of one very long text, go
+#: back to the system when they are freed, instead of staying with a worker that is used again.
+ALLOCATION = {
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": str(2**20),
+    "MALLOC_TRIM_THRESHOLD_": str(2**20),
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+
+
 def reach_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver found it.
+    """Let Python workers import this package from where the driver found it, and keep them small.
 
     On a cluster where it is installed or shipped with ``--py-files`` the extra path does no harm.
+    Settings that the session has already are left as they are.
     """
     environment = spark.sparkContext.environment
+    for name, value in ALLOCATION.items():
+        environment.setdefault(name, value)
     known = environment.get("PYTHONPATH", "")
     if PACKAGE_ROOT not in known.split(":"):
         environment["PYTHONPATH"] = f"{known}:{PACKAGE_ROOT}".lstrip(":")
