@@ -46,8 +46,6 @@ SPAN = "struct<start:int,rank:int,end:int>"
 SECRET_WORDS = r"(?i)(?:token|secret|password|passwd|pwd|key|auth|bearer)[^A-Za-z0-9]*$"
 CONTACT_WORDS = r"(?i)(?:tel|phone|call|fax|mobile|mail|contact|card|account|iban|ssn)[^A-Za-z0-9]*$"
 
-#: Most documents whose candidates the trees are fitted on, in expectation.
-SAMPLE_DOCUMENTS = 4_000
 TREES, DEPTH = 12, 3
 #: Share of right ones among the held-out candidates above a threshold.
 PRECISION = 0.95
@@ -240,16 +238,20 @@ class Scorer:
         return self.score(c["f"]) >= bound
 
 
-def fit(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Scorer:
-    """Trees fitted on the candidates of about ``sample_documents`` texts chosen by a hash of theirs;
-    copies of a text, however many, are one.
+def fit(docs: DataFrame, sample_documents: int | None = None) -> Scorer:
+    """Trees fitted on the candidates of every distinct text; copies of a text, however many, are
+    one. Given ``sample_documents``, only about that many texts, chosen by a hash of theirs, are
+    taken; no query does so.
 
     With candidates of one class only, or none, there is nothing to learn and no wide span is
-    taken. Two thirds of the documents fit the trees; the rest set the thresholds.
+    taken. Two thirds of the texts fit the trees; the rest set the thresholds.
     """
-    rows = docs.count()
-    part = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
-    sample = docs.where(part < int(1_000_000 * min(1.0, sample_documents / max(rows, 1)))).select("text").distinct()
+    sample = docs.select("text").where(F.col("text").isNotNull())
+    if sample_documents is not None:
+        rows = docs.count()
+        part = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
+        sample = sample.where(part < int(1_000_000 * min(1.0, sample_documents / max(rows, 1))))
+    sample = sample.distinct()
     held = F.pmod(F.hash("text"), F.lit(3)) == 0
     found = sample.select(held.alias("held"), base_spans(F.col("text")).alias("base"), F.explode(candidates(F.col("text"))).alias("c"))
     found = found.select("held", F.col("c.rank").alias("rank"), F.col("c.f").alias("f"), likely(F.col("c"), F.col("base")).cast("double").alias("label"))

@@ -202,3 +202,25 @@ def test_the_sample_is_bounded_whatever_the_ids(spark):
     finally:
         pii.stored = real
     assert 20 < seen[0] < 1200
+
+
+def test_the_trees_see_the_candidates_of_every_text(spark):
+    """More texts than the old sample of 4,000: the candidates of all distinct texts are fitted on."""
+    rows = [(i, f"call {i:07d} 555 01 23 or key {i:024x}") for i in range(6000)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    wanted = docs.select(F.sum(F.size(pii.candidates(F.col("text")))).alias("n")).first()["n"]
+    seen = []
+    real = pii.stored
+
+    def counted(frame, label):
+        found = real(frame, label)
+        seen.append(found.count())
+        return found
+
+    pii.stored = counted
+    try:
+        pii.fit(docs)
+    finally:
+        pii.stored = real
+    assert wanted >= 6000
+    assert seen[0] == wanted
