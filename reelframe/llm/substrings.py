@@ -1,13 +1,13 @@
-"""Substring duplicates by MinHash banding of content-defined paragraphs.
+"""Substring duplicates by prefix keys of content-defined paragraphs.
 
 Repeated passages seldom start where a line does, so a paragraph is ``LENGTH`` words that start
 at an anchor: the least hash of any ``RADIUS`` + 1 words in a row, of equal ones the first. Two
 copies of a passage have the same anchors inside, wherever they stand and however their words
 repeat, so any shared run of ``LENGTH`` + ``RADIUS`` words holds a shared paragraph. Paragraphs of
-equal words are one node. Those at a word whose hash is the least within ``RADIUS`` words to
-either side also get bands of MinHash coordinates; nodes that share one are compared on their
-whole shingle sets, similar ones are linked, and each component that spans documents is a class
-of repeats.
+equal words are one node. Every node is keyed by the least n - ceil(s n) + 1 of its n shingle
+hashes: two sets of Jaccard similarity s or more share the least element they have in common, and
+it is among those of both. Nodes that share a key are compared on their whole shingle sets,
+similar ones are linked, and each component that spans documents is a class of repeats.
 """
 
 from __future__ import annotations
@@ -21,16 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelframe.llm.linking import link
-from reelframe.llm.shingles import SHINGLE, P, band_keys, circulant, mixed, shingle_hashes, word_hashes, words_of
+from reelframe.llm.shingles import SHINGLE, P, mixed, shingle_hashes, word_hashes, words_of
 from reelframe.llm.workers import broadcast_if_small, map_rows, stored
 
 PERCENT = 80
 LENGTH = 20
 RADIUS = 5
-#: Equal paragraphs are one node without bands. A changed one at the threshold shares a band with
-#: probability 0.97; an edit of the first or last word leaves 15 of 17 shingles, one of any other
-#: word less than the threshold. Two passages of over 50 words at the threshold need no band:
-#: between their edits they share a run of 25 words, which holds an equal paragraph.
+#: Bands of MinHash coordinates that paragraphs were once keyed by; a changed paragraph at the
+#: threshold shared one with probability 0.97 only, so no key is made of them any more.
 BANDS, ROWS = 5, 3
 
 WORD = re.compile(r"[^ \t-\r]+")
@@ -70,19 +68,31 @@ def paragraphs_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return starts, content.view(np.int64), shingles, banded
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, node, keys): every paragraph of every whole text."""
+def prefixes(shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of each paragraph, flat, and their number for each: the least n - ceil(percent n / 100)
+    + 1 of the n distinct elements that it is compared on (those of ``sets_of``). Any paragraph this
+    similar to it shares one of them."""
+    own = np.sort((shingles >> np.uint64(32)).astype(np.uint32), axis=1)
+    first = np.concatenate([np.ones((len(own), 1), bool), own[:, 1:] != own[:, :-1]], axis=1)
+    n = first.sum(1)
+    kept = first & (np.cumsum(first, 1) <= (n - (percent * n + 99) // 100 + 1)[:, None])
+    return own[kept].astype(np.int64), kept.sum(1).astype(np.int64)
+
+
+def paragraphs(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, start, node, keys): every paragraph of every whole text, keyed by its prefix."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             ids, starts, nodes, keys, sizes = [], [], [], [], [[0]]
             for value, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                places, content, shingles, banded = paragraphs_of(text)
+                places, content, shingles, _ = paragraphs_of(text)
                 ids += [value] * len(places)
                 starts.append(places)
                 nodes.append(content)
-                keys.append(band_keys(circulant(shingles[banded], BANDS * ROWS), ROWS).reshape(-1))
-                sizes.append(banded * BANDS)
+                own, counts = prefixes(shingles, percent)
+                keys.append(own)
+                sizes.append(counts)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             offsets = np.cumsum(np.concatenate(sizes), dtype=np.int32)
             yield {
@@ -122,10 +132,9 @@ def repeats(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     that repeat a doc_id count as one document. Other columns are ignored, whatever their names.
     """
     docs = docs.where(F.col("doc_id").isNotNull())
-    found = stored(paragraphs(docs), "paragraphs")
+    found = stored(paragraphs(docs, percent), "paragraphs")
     keyed = found.select(F.explode("keys").alias("key"), F.col("node").alias("id"))
-    half = F.shiftright("id", 32).cast("int")
-    shared = keyed.groupBy("key").agg(F.min(half).alias("low"), F.max(half).alias("high")).where("low < high").select("key")
+    shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
     shared = stored(shared, "shared-keys")
     members = stored(keyed.join(broadcast_if_small(shared), "key").distinct(), "members")
     ids = stored(members.select("id").distinct(), "candidates")

@@ -120,3 +120,18 @@ def test_odd_rows(spark, odd_docs, no_docs):
     null = spark.createDataFrame([(None, sentence(1, 100), *FILL), (None, sentence(1, 100), *FILL)], SCHEMA)
     assert substrings.repeats(null).collect() == []
     assert substrings.without_repeats("", []) == "" and substrings.without_repeats("a  b c", [(0, 1), (0, 2)]) == " c"
+
+
+def test_every_pair_at_the_threshold_is_linked(spark):
+    """Paragraphs of 20 words that differ in their first word share 15 of 17 shingles: each such
+    pair is a class, whether or not its MinHash bands would have met."""
+    rows = []
+    for i in range(40):
+        words = sentence(2000 + i, substrings.LENGTH).split()
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([f"first{i}", *words[1:]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substrings.repeats(docs).collect()
+    classes = defaultdict(set)
+    for r in found:
+        classes[r.class_id].add(r.doc_id)
+    assert sorted(map(sorted, classes.values())) == [[2 * i, 2 * i + 1] for i in range(40)]
