@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelframe.functions import unquote_field
@@ -126,11 +127,18 @@ def _(spark, sf_dir):
 @query("stream_repeated_events", EVENT_COUNTS_SQL)
 def _(spark, sf_dir):
     """Every third event is sent again in another file; each counts once."""
-    events = table(spark, sf_dir, "events")
+    return streamed(spark, repeated_events(table(spark, sf_dir, "events")), lateness="36500 days", event_id="event_id")
+
+
+def repeated_events(events: DataFrame) -> DataFrame:
+    """The events and every third one again, the copies dealt to other files than the first sending.
+
+    Four files for each partition of the input, so no task of the deal gets a share of all events
+    that grows with them.
+    """
     again = events.filter(F.col("event_id") % 3 == 0)
     dealt = events.withColumn("_file", F.lit(0)).union(again.withColumn("_file", F.lit(1)))
-    files = dealt.repartition(4, "_file", F.col("event_id") % 2).drop("_file")
-    return streamed(spark, files, lateness="36500 days", event_id="event_id")
+    return dealt.repartition(4 * events.rdd.getNumPartitions(), "_file", "event_id").drop("_file")
 
 
 def order_films(spark, sf_dir, changed: bool):

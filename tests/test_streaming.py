@@ -135,3 +135,17 @@ def test_repeats_need_a_lateness(spark, tmp_path):
     write_numbered(spark, str(tmp_path / "in"), "a", [(1, "2024-01-01T00:00:00", "x")])
     with pytest.raises(ValueError, match="lateness"):
         count_events(stream_files(spark, str(tmp_path / "in/*")), "at", "kind", event_id="event_id")
+
+
+def test_the_deal_of_repeated_events_grows_with_the_input(spark):
+    from reelframe.registry.serve import repeated_events
+
+    events = spark.range(8000).select(F.col("id").alias("event_id")).repartition(8)
+    dealt = repeated_events(events)
+    sizes = [row["count"] for row in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 8000 + 8000 // 3 + 1
+    # Four files of the whole input gave a task a third of all rows.
+    assert max(sizes) <= 8000 // 8
+    placed = dealt.withColumn("file", F.spark_partition_id())
+    ids = placed.groupBy("event_id").agg(F.count("*").alias("n"), F.count_distinct("file").alias("files"))
+    assert ids.filter("n = 2 and files = 1").count() <= ids.filter("n = 2").count() // 4
