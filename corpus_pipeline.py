@@ -18,6 +18,9 @@ NEAR_PERCENT = 80
 #: Rows in a batch that goes to Python or comes back. Rows are whole texts here, so Spark's own number
 #: of rows makes batches of tens of megabytes, a few of them for each task at a time.
 BATCH_ROWS = 1_000
+#: Bytes of a row group in what a stage writes. A task's writer holds its row group until it is full,
+#: and token ids fill one much faster than texts, so the default of 128 MB grew with the input.
+ROW_GROUP_BYTES = 16 * 1024 * 1024
 
 
 def batches_of_texts(spark: SparkSession) -> None:
@@ -68,11 +71,16 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def written(frame: DataFrame, path: str) -> None:
+    """Write what a stage keeps in row groups of at most ``ROW_GROUP_BYTES``."""
+    frame.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order; what each one keeps is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        written(stage(spark, docs, sf_dir), path)
         docs = spark.read.parquet(path)
     return docs

@@ -90,3 +90,15 @@ def test_registered():
     assert [f"op{i}_" for i in range(1, 14)] == [name[: name.index("_") + 1] for name in sorted(
         (n for n in entry_module.queries() if n.startswith("op")), key=lambda n: int(n[2 : n.index("_")]))]
     assert len(sentence(1, 5).split()) == 5
+
+
+def test_token_ids_are_written_in_bounded_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    ids = F.transform(F.sequence(F.lit(1), F.lit(40_000)), lambda x: F.pmod(F.hash(x, F.col("id")), F.lit(50_000)))
+    frame = spark.range(300).coalesce(1).select(F.col("id").alias("doc_id"), ids.cast("array<int>").alias("ids"))
+    corpus_pipeline.written(frame, str(tmp_path / "ids"))
+    groups = [g for f in (tmp_path / "ids").glob("*.parquet") for g in pq.ParquetFile(f).metadata.to_dict()["row_groups"]]
+    assert len(groups) > 1 and sum(g["num_rows"] for g in groups) == 300
+    assert max(g["total_byte_size"] for g in groups) <= 2 * corpus_pipeline.ROW_GROUP_BYTES
