@@ -120,3 +120,24 @@ def test_odd_rows(odd_docs, no_docs, reference):
     assert sorted(((r.doc_id or 0), r.decoded) for r in rows) == wanted
     assert all(r.ids == (reference.encode_ordinary(r.decoded) if len(r.decoded) < 150_000 else by_heap(r.decoded)) for r in rows)
     assert bpe.encode_decode(no_docs, PATH, PATTERN).collect() == []
+
+
+def test_memory_of_a_worker_is_bounded_and_changes_no_ids():
+    import tracemalloc
+
+    def word(k):
+        return "".join(chr(97 + k // 26**p % 26) for p in range(5))
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    texts = [" ".join(word(i * 7919 % 26**5) for i in range(j, j + 400)) for j in range(0, 400_000, 400)]
+    fresh = [bpe.Codec(ranks, public_tokenizers.PATTERN).encode(text) for text in texts[-3:]]
+    tracemalloc.start()
+    codec = bpe.Codec(ranks, public_tokenizers.PATTERN)
+    before = tracemalloc.get_traced_memory()[0]
+    for text in texts:
+        ids = codec.encode(text)
+        assert codec.decode(ids) == text
+    held = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert [codec.encode(text) for text in texts[-3:]] == fresh
+    assert held < 60 * 2**20
