@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reelframe.operators.ranking import Descending, Order, row_index, top_k
 from reelframe.operators.rows import nonzero_rows
 from reelframe.schema import MIN_GROUP_SIZE, TOP_KEYWORDS
+from reelframe.session import scratch_path
 
 
 def count_by(rows: DataFrame, column: str, min_count: int = 0) -> DataFrame:
@@ -99,7 +100,11 @@ def frequent(values: DataFrame, column: str, n: int = TOP_KEYWORDS, tracked: int
     larger, none can be missing; else all values are counted. So the shuffle holds sketches
     instead of every distinct value of every task, unless the counts are nearly flat.
     """
-    filled = values.where(F.col(column).isNotNull())
+    spark = values.sparkSession
+    # The values are worked out once and read again by each pass below, which may be three.
+    kept = scratch_path(spark, "frequent")
+    values.where(F.col(column).isNotNull()).select(column).write.parquet(kept)
+    filled = spark.read.schema(values.select(column).schema).parquet(kept)
     candidates = tracked // 4
     seen = filled.agg(
         F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k({column}, {candidates}, {tracked})").alias("top")
@@ -109,7 +114,7 @@ def frequent(values: DataFrame, column: str, n: int = TOP_KEYWORDS, tracked: int
         return top_counts(count_by(filled, column), column, n)
     error = SKETCH_ERROR * seen.rows / tracked
     missed = max(named[-1][1], error) if len(named) == candidates else error
-    found = values.sparkSession.createDataFrame([(item,) for item, _ in named], values.select(column).schema)
+    found = spark.createDataFrame([(item,) for item, _ in named], values.select(column).schema)
     exact = count_by(filled.join(F.broadcast(found), column, "left_semi"), column)
     top = top_counts(exact, column, n)
     last = top.agg(F.count(F.lit(1)).alias("rows"), F.min("count").alias("count")).first()

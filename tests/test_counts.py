@@ -61,3 +61,16 @@ def test_labels_add_up(spark, counts):
 def test_labels_of_nothing(spark):
     rows = spark.createDataFrame([("a", 0), ("b", 0)], "key string, count long")
     assert {r.label for r in share_labels(rows, "key").collect()} == {None}
+
+
+@pytest.mark.parametrize("kind", ["skewed", "flat"])
+def test_frequent_works_out_values_once(spark, kind):
+    made = spark.sparkContext.accumulator(0)
+
+    def word(value):
+        made.add(1)
+        return value
+
+    values = words(spark, kind).select(F.udf(word, "string").asNondeterministic()("word").alias("word"))
+    got = listed(frequent(values, "word", 20, tracked=2**12))
+    assert got and made.value == 20_001
