@@ -135,3 +135,60 @@ def test_every_pair_at_the_threshold_is_linked(spark):
     for r in found:
         classes[r.class_id].add(r.doc_id)
     assert sorted(map(sorted, classes.values())) == [[2 * i, 2 * i + 1] for i in range(40)]
+
+
+def test_what_repeats_nowhere_is_not_kept(spark):
+    """Paragraphs that share nothing with another text are left out before any is written; those that
+    repeat, are shifted by a word, or repeat within one text as well, are all kept."""
+    shared = sentence(8001, 60)
+    twice = sentence(8003, 30)
+    rows = [(i, sentence(8100 + i, 400)) for i in range(20)]
+    rows += [(30, f"{sentence(8200, 200)} {shared}"), (31, f"{shared} {sentence(8201, 200)}")]
+    rows += [(40, f"{twice} {sentence(8202, 50)} {twice}"), (41, f"{sentence(8203, 50)} {twice}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = substrings.keys_of(docs).groupBy("key").count().where("count > 1").select("key")
+    kept = substrings.paragraphs(docs, substrings.table_of(substrings.stored(keys, "keys")))
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == {30, 31, 40, 41}
+    places = defaultdict(set)
+    for r in substrings.repeats(docs).collect():
+        places[r.doc_id].add(r.start_word)
+    assert set(places) == {30, 31, 40, 41}
+    assert places[40] >= {at - 50 for at in places[41] if at >= 55} | {at + 30 for at in places[41] if at >= 55}
+
+
+def test_links_by_runs_are_those_of_the_sets(spark):
+    """Classes against brute force over all pairs of paragraphs, with texts that are plain, edited,
+    rotated, and knotted by repeated words, at thresholds with and without links by runs."""
+    texts = []
+    for i in range(12):
+        words = sentence(8300 + i, 45).split()
+        texts += [words, [f"head{i}", *words[1:]], [*words[:20], "middle", *words[20:]], [*words[:-1], "tail"]]
+        period = sentence(8400 + i, 3 + 2 * i).split()
+        texts += [(period * 20)[:50], (period * 20)[2:40], [*(period * 20)[:24], "end"]]
+        texts += [["a"] * 4 + words[:16], words[:1] + ["a"] * 4 + words[1:16], ["a"] * 5 + words[:15]]
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert substrings.by_runs(80) and not substrings.by_runs(70) and not substrings.by_runs(90)
+    for percent in (80, 70):
+        found = substrings.paragraphs_of([text for _, text in rows], percent)
+        places = list(zip(found.text.tolist(), found.start.tolist(), strict=True))
+        sets = [frozenset(tuple(texts[t][s + k : s + k + 5]) for k in range(16)) for t, s in places]
+        parent = list(range(len(places)))
+
+        def root(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for i in range(len(places)):
+            for j in range(i):
+                if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                    parent[root(i)] = root(j)
+        classes = defaultdict(set)
+        for i, place in enumerate(places):
+            classes[root(i)].add(place)
+        wanted = {frozenset(c) for c in classes.values() if len({t for t, _ in c}) > 1}
+        got = defaultdict(set)
+        for r in substrings.repeats(docs, percent).collect():
+            got[r.class_id].add((r.doc_id, r.start_word))
+        assert {frozenset(c) for c in got.values()} == wanted
