@@ -12,21 +12,56 @@ goes through the filter.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from reelframe.llm.workers import stored
+from reelframe.llm.workers import map_rows, stored
+
+#: Links that one task settles at once; more go through rounds of shuffles.
+MOST_AT_ONCE = 2_000_000
+
+
+def settled(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All nodes of links (u, v) but the least of each component, and that one."""
+    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    least, (a, b) = np.arange(len(nodes)), ends.reshape(2, -1)
+    while (least[a] != least[b]).any():
+        low, high = np.minimum(least[a], least[b]), np.maximum(least[a], least[b])
+        np.minimum.at(least, high, low)
+        while (least[least] != least).any():
+            least = least[least]
+    others = np.flatnonzero(least != np.arange(len(nodes)))
+    return nodes[others], nodes[least[others]]
+
+
+def at_once(pairs: DataFrame) -> DataFrame:
+    """(id, component) from few links (u, v), in one task."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        links = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches]
+        if links:
+            ids, found = settled(*map(np.concatenate, zip(*links, strict=True)))
+            yield {"id": ids, "component": found}
+
+    return map_rows(pairs.coalesce(1), task, "id long, component long")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of all nodes but the least of each component, from links (a, b).
 
-    Large and small stars by turns: each node's larger, then its smaller neighbours are tied to
-    the least one it sees, until nothing changes. Each round's links are a written table.
+    Few links of numbers are settled in one task. Of more, large and small stars by turns: each
+    node's larger, then its smaller neighbours are tied to the least one it sees, until nothing
+    changes. Each round's links are a written table.
     """
     u, v = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     pairs = stored(links.where(F.col("a") != F.col("b")).select(u, v).distinct(), "links")
+    if {kind for _, kind in pairs.dtypes} == {"bigint"} and pairs.count() <= MOST_AT_ONCE:
+        return stored(at_once(pairs), "components")
     before = None
     while True:
         state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -33,6 +33,66 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
+SPACE = np.zeros(256, bool)
+SPACE[list(b" \t\n\r\v\f")] = True
+
+
+def texts_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """``word_hashes`` of the words of some texts, end to end, and the number of words of each. XXH3
+    of words of up to 16 bytes, nearly all, is worked out for all of them at once."""
+    parts = [(text or "").encode() for text in texts]
+    joined = b" ".join([b"", *parts, b""]).lower()
+    space = SPACE[np.frombuffer(joined, np.uint8)]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    borders = np.cumsum([0, *(len(part) + 1 for part in parts)])
+    sizes = np.diff(np.searchsorted(starts, borders, side="right"))
+    padded = joined + bytes(8)
+    eights = np.ndarray((len(joined),), "<u8", padded, strides=(1,))
+    n = ends - starts
+    hashes = np.empty(len(n), np.uint64)
+    for few, most, digest in ((1, 3, xxh3_to_3), (4, 8, xxh3_to_8), (9, 16, xxh3_to_16)):
+        own = np.flatnonzero((n >= few) & (n <= most))
+        long = n[own].astype(np.uint64)
+        hashes[own] = digest(eights[starts[own]], eights[np.maximum(ends[own] - 8, 0)], long)
+    for i in np.flatnonzero(n > 16).tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(joined[starts[i] : ends[i]])
+    return hashes, sizes
+
+
+def xxh3_to_3(first: np.ndarray, last: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """XXH3 of 1 to 3 bytes, from the eight bytes at the first one."""
+    byte, eight = np.uint64(0xFF), np.uint64(8)
+    c1, c2, c3 = first & byte, (first >> (n >> np.uint64(1)) * eight) & byte, (first >> (n - np.uint64(1)) * eight) & byte
+    x = (c1 << np.uint64(16) | c2 << np.uint64(24) | c3 | n << eight) ^ np.uint64(0x87275A9B)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x165667B19E3779F9)
+    return x ^ (x >> np.uint64(32))
+
+
+def xxh3_to_8(first: np.ndarray, last: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """XXH3 of 4 to 8 bytes, from the eight bytes at the first one."""
+    half = np.uint64(0xFFFFFFFF)
+    ending = (first >> (n - np.uint64(4)) * np.uint64(8)) & half
+    x = (ending + (first << np.uint64(32))) ^ np.uint64(0xC73AB174C5ECD5A2)
+    x ^= (x << np.uint64(49) | x >> np.uint64(15)) ^ (x << np.uint64(24) | x >> np.uint64(40))
+    x *= np.uint64(0x9FB21C651E98DF25)
+    x = (x ^ ((x >> np.uint64(35)) + n)) * np.uint64(0x9FB21C651E98DF25)
+    return x ^ (x >> np.uint64(28))
+
+
+def xxh3_to_16(first: np.ndarray, last: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """XXH3 of 9 to 16 bytes, from the first and the last eight."""
+    low, high = first ^ np.uint64(0x6782737BEA4239B9), last ^ np.uint64(0xAF56BC3B0996523A)
+    half, half_of = np.uint64(0xFFFFFFFF), np.uint64(32)
+    a, b, c, d = low & half, low >> half_of, high & half, high >> half_of
+    middle = (a * c >> half_of) + (b * c & half) + a * d
+    product = (b * c >> half_of) + (middle >> half_of) + b * d
+    x = n + low.byteswap() + high + (low * high ^ product)
+    x = (x ^ (x >> np.uint64(37))) * np.uint64(0x165667919E3779F9)
+    return x ^ (x >> np.uint64(32))
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelframe.llm.linking import components, crowded, link
-from reelframe.llm.shingles import SHINGLE, P, mixed, shingle_hashes, word_hashes, words_of
+from reelframe.llm.shingles import SHINGLE, P, mixed, shingle_hashes, texts_hashes
 from reelframe.llm.workers import broadcast_if_small, map_rows, stored
 
 PERCENT = 80
@@ -140,9 +140,7 @@ class Paragraphs(NamedTuple):
 
 def paragraphs_of(texts: list[str | None], percent: int = PERCENT) -> Paragraphs:
     """The paragraphs of some texts."""
-    words = [words_of(text) for text in texts]
-    sizes = np.array([len(w) for w in words], np.int64)
-    hashes = np.concatenate([word_hashes(w) for w in words])
+    hashes, sizes = texts_hashes(texts)
     text, start = anchors(hashes, sizes)
     at = (np.cumsum(sizes) - sizes)[text] + start
     if not len(at):

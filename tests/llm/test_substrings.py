@@ -3,9 +3,9 @@ from collections import defaultdict
 import numpy as np
 from cases import FILL, SCHEMA, sentence
 
-from reelframe.llm import substrings
+from reelframe.llm import linking, substrings
 from reelframe.llm.queries import LLM_QUERIES
-from reelframe.llm.shingles import band_keys, circulant
+from reelframe.llm.shingles import band_keys, circulant, texts_hashes, word_hashes, words_of
 
 
 def repeated(texts, size):
@@ -192,3 +192,23 @@ def test_links_by_runs_are_those_of_the_sets(spark):
         for r in substrings.repeats(docs, percent).collect():
             got[r.class_id].add((r.doc_id, r.start_word))
         assert {frozenset(c) for c in got.values()} == wanted
+
+
+def test_words_hashed_at_once_are_hashed_alike():
+    rng = np.random.default_rng(5)
+    letters = list("abcXYZ09é日\x85\x1c")
+    texts = [None, "", " \t\n ", " A\vb\fC\r\nd ", *[" ".join("".join(rng.choice(letters, n)) for n in rng.integers(0, 24, 60)) for _ in range(200)]]
+    hashes, sizes = texts_hashes(texts)
+    one_by_one = [word_hashes(words_of(text)) for text in texts]
+    assert sizes.tolist() == [len(found) for found in one_by_one]
+    assert (hashes == np.concatenate(one_by_one)).all()
+
+
+def test_links_settled_at_once_and_by_rounds_are_one(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    pairs = [(int(a), int(a) + 1) for a in range(-60, 0)] + [(int(a), int(b)) for a, b in rng.integers(1, 400, (250, 2))]
+    links = spark.createDataFrame(pairs, "a long, b long")
+    at_once = sorted(linking.components(links).collect())
+    monkeypatch.setattr(linking, "MOST_AT_ONCE", 0)
+    assert at_once == sorted(linking.components(links).collect())
+    assert linking.components(links.limit(0)).collect() == []
